@@ -77,13 +77,20 @@ def _earlier(partition: Sequence[str]):
 
 
 def running_rows(
-    df: DataFrame, partition: Sequence[str], order: Sequence[Column], value: Column, out: str
+    df: DataFrame,
+    partition: Sequence[str],
+    order: Sequence[Column],
+    value: Column,
+    out: str,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the partition to the current row.
 
-    ``order`` must be total within a partition.
+    ``order`` must be total within a partition. ``sizes``, here and below, is
+    a cheaper frame to measure the groups on, with at least as many rows per
+    group as ``df``; for example the scan beneath a join.
     """
-    if not has_hot_group(df, partition):
+    if not has_hot_group(df if sizes is None else sizes, partition):
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
     cut = _slices(df.withColumn("_value", value), partition, order)
@@ -105,16 +112,23 @@ def running_rows(
     return joined.withColumn(out, total).drop("_slice", "_value", "_here", "_before")
 
 
-def numbered(df: DataFrame, partition: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+def numbered(
+    df: DataFrame, partition: Sequence[str], order: Sequence[Column], out: str, sizes: DataFrame | None = None
+) -> DataFrame:
     """Row number within the partition; ``order`` must be total."""
-    return running_rows(df, partition, order, F.lit(1), out)
+    return running_rows(df, partition, order, F.lit(1), out, sizes)
 
 
 def lagged(
-    df: DataFrame, partition: Sequence[str], order: Sequence[Column], value: str, out: str
+    df: DataFrame,
+    partition: Sequence[str],
+    order: Sequence[Column],
+    value: str,
+    out: str,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``value`` of the row before, within the partition; ``order`` must be total."""
-    if not has_hot_group(df, partition):
+    if not has_hot_group(df if sizes is None else sizes, partition):
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*partition).orderBy(*order)))
     cut = _slices(df, partition, order)
     keys = [*partition, "_slice"]
@@ -137,10 +151,16 @@ def lagged(
 
 
 def moving_average(
-    df: DataFrame, partition: Sequence[str], order: Sequence[Column], value: str, preceding: int, out: str
+    df: DataFrame,
+    partition: Sequence[str],
+    order: Sequence[Column],
+    value: str,
+    preceding: int,
+    out: str,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over the current row and the ``preceding`` rows before it; ``order`` must be total."""
-    if not has_hot_group(df, partition):
+    if not has_hot_group(df if sizes is None else sizes, partition):
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-preceding, 0)
         return df.withColumn(out, F.avg(value).over(w))
     cut = _slices(df, partition, order)
@@ -181,26 +201,45 @@ def _order_column(order: str, descending: bool) -> Column:
 
 
 def running_total(
-    df: DataFrame, partition: Sequence[str], order: str, value: str, out: str
+    df: DataFrame,
+    partition: Sequence[str],
+    order: str,
+    value: str,
+    out: str,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Running sum where rows with the same ``order`` value share one total (RANGE frame)."""
-    if not has_hot_group(df, partition):
+    """Running sum where rows with the same ``order`` value share one total (RANGE frame).
+
+    A hot group is first summed per order value; only these steps are
+    accumulated, and the totals are joined back.
+    """
+    if not has_hot_group(df if sizes is None else sizes, partition):
         w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_last())
         return df.withColumn(out, F.sum(value).over(w))
-    steps = df.groupBy(*partition, order).agg(F.sum(value).alias("_step"))
+    steps = staged(df.groupBy(*partition, order).agg(F.sum(value).alias("_step")), "steps")
     totals = running_rows(steps, partition, [F.col(order).asc_nulls_last()], F.col("_step"), out)
     return attach(df, staged(totals.drop("_step"), "totals"), [*partition, order])
 
 
 def ranked(
-    df: DataFrame, partition: Sequence[str], order: str, out: str, descending: bool = True, dense: bool = False
+    df: DataFrame,
+    partition: Sequence[str],
+    order: str,
+    out: str,
+    descending: bool = True,
+    dense: bool = False,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """RANK or DENSE_RANK of ``order`` within the partition; nulls rank last."""
+    """RANK or DENSE_RANK of ``order`` within the partition; nulls rank last.
+
+    In a hot group rows are first counted per order value, so equal values
+    never need to meet in one task.
+    """
     key = _order_column(order, descending)
-    if not has_hot_group(df, partition):
+    if not has_hot_group(df if sizes is None else sizes, partition):
         w = Window.partitionBy(*partition).orderBy(key)
         return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w))
-    steps = df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n"))
+    steps = staged(df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n")), "steps")
     if dense:
         ranks = numbered(steps, partition, [key], out)
     else:

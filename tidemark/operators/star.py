@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions import columns as c
 from tidemark.operators.skew import latest_per_key, numbered, ranked
+from tidemark.session import staged
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -80,15 +81,13 @@ def with_surrogate_key(dimension: DataFrame, out: str, key: str) -> DataFrame:
 
 
 def dim_customer(snapshots: DataFrame, tracked: Sequence[str], date_column: str = "snapshot_date") -> DataFrame:
-    return with_surrogate_key(
-        scd2_versions(snapshots, "customer_id", tracked, date_column), "customer_key", "customer_id"
-    )
+    versions = scd2_versions(snapshots, "customer_id", tracked, date_column)
+    return with_surrogate_key(staged(versions, "versions"), "customer_key", "customer_id")
 
 
 def dim_product(snapshots: DataFrame, tracked: Sequence[str], date_column: str = "snapshot_date") -> DataFrame:
-    return with_surrogate_key(
-        scd2_versions(snapshots, "product_id", tracked, date_column), "product_key", "product_id"
-    )
+    versions = scd2_versions(snapshots, "product_id", tracked, date_column)
+    return with_surrogate_key(staged(versions, "versions"), "product_key", "product_id")
 
 
 def scd2_apply(
@@ -202,7 +201,7 @@ def top_products_per_month(daily: DataFrame, dates: DataFrame, products: DataFra
             F.sum("total_revenue").cast("decimal(18,2)").alias("revenue"),
         )
     )
-    return ranked(sold, ["year", "month"], "quantity", "product_rank").filter(F.col("product_rank") <= top)
+    return ranked(staged(sold, "sold"), ["year", "month"], "quantity", "product_rank").filter(F.col("product_rank") <= top)
 
 
 def order_value_per_month(facts: DataFrame, dates: DataFrame) -> DataFrame:

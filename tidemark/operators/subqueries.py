@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.aggregates import staff_orders
 from tidemark.operators.joins import keys_of, order_values, revenue_expr
 from tidemark.operators.skew import with_group_stats
+from tidemark.session import staged
 
 
 def unsold_products(products: DataFrame, lines: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def product_dependency(orders: DataFrame, lines: DataFrame, above: float) -> Dat
         .groupBy("customer_id", "product_id")
         .agg(F.sum("n").alias("product_orders"))
     )
-    shares = with_group_stats(pairs, ["customer_id"], F.sum("product_orders").alias("all_orders"))
+    shares = with_group_stats(staged(pairs, "pairs"), ["customer_id"], F.sum("product_orders").alias("all_orders"))
     return (
         shares.withColumn("dependency_ratio", F.col("product_orders").cast("double") / F.col("all_orders"))
         .filter(F.col("dependency_ratio") > above)

@@ -1,6 +1,7 @@
 """Rank, running, lag and moving-frame reports.
 
-Global ranks apply to aggregated rows only. Group averages and shares join
+Global ranks apply to aggregated rows only; these are written out once and
+then measured and ranked. Group averages and shares join
 the aggregate back instead of sorting the group in a window.
 """
 
@@ -25,6 +26,7 @@ from tidemark.operators.skew import (
     running_total,
     with_group_stats,
 )
+from tidemark.session import staged
 
 
 def price_rank_in_category(products: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def employee_order_rank(employees: DataFrame, orders: DataFrame) -> DataFrame:
         .agg(F.count("order_id").alias("total_orders"))
         .join(keys_of(employees, "employee_id"), "employee_id", "left_semi")
     )
-    return ranked(counts, [], "total_orders", "employee_rank")
+    return ranked(staged(counts), [], "total_orders", "employee_rank")
 
 
 def running_quantity(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def running_quantity(orders: DataFrame, lines: DataFrame) -> DataFrame:
     dated = lines.select("order_id", "line_no", "product_id", "quantity").join(
         orders.select("order_id", "order_date"), "order_id"
     )
-    return running_total(dated, ["product_id"], "order_date", "quantity", "running_quantity").select(
+    return running_total(dated, ["product_id"], "order_date", "quantity", "running_quantity", sizes=lines).select(
         "product_id", "order_date", "running_quantity"
     )
 
@@ -88,7 +90,7 @@ def supplier_revenue_rank(
         .filter(F.col("revenue").isNotNull())
         .select("company_name", F.round("revenue", digits).alias("total_revenue"))
     )
-    return ranked(revenue, [], "total_revenue", "supplier_rank")
+    return ranked(staged(revenue), [], "total_revenue", "supplier_rank")
 
 
 def customer_row_in_country(customers: DataFrame) -> DataFrame:
@@ -112,14 +114,14 @@ def territory_rank(territories: DataFrame, staff_territories: DataFrame) -> Data
         .agg(F.count("employee_id").alias("employee_count"))
         .join(keys_of(territories, "territory_id"), "territory_id", "left_semi")
     )
-    return ranked(counts, [], "employee_count", "territory_rank")
+    return ranked(staged(counts), [], "employee_count", "territory_rank")
 
 
 def shipper_freight_rank(orders: DataFrame, shippers: DataFrame, digits: int = 6) -> DataFrame:
     freight = freight_per_shipper(orders, shippers).select(
         "company_name", F.round("total_freight_cost", digits).alias("total_freight")
     )
-    return ranked(freight, [], "total_freight", "shipper_rank")
+    return ranked(staged(freight), [], "total_freight", "shipper_rank")
 
 
 def previous_freight(orders: DataFrame) -> DataFrame:
@@ -137,14 +139,14 @@ def previous_quantity(orders: DataFrame, lines: DataFrame) -> DataFrame:
         orders.select("order_id", "order_date"), "order_id"
     )
     order = [F.col("order_date"), F.col("order_id"), F.col("line_no"), F.col("quantity")]
-    return lagged(dated, ["product_id"], order, "quantity", "previous_quantity")
+    return lagged(dated, ["product_id"], order, "quantity", "previous_quantity", sizes=lines)
 
 
 def customer_revenue_rank(orders: DataFrame, lines: DataFrame, digits: int = 4) -> DataFrame:
     revenue = revenue_by_order_key(orders, lines, "customer_id").select(
         "customer_id", F.round("revenue", digits).alias("total_revenue")
     )
-    return ranked(revenue, [], "total_revenue", "revenue_rank", dense=True)
+    return ranked(staged(revenue), [], "total_revenue", "revenue_rank", dense=True)
 
 
 def category_revenue_share(products: DataFrame, lines: DataFrame) -> DataFrame:
@@ -155,7 +157,7 @@ def category_revenue_share(products: DataFrame, lines: DataFrame) -> DataFrame:
         .groupBy("category_id", "product_name")
         .agg(F.sum("revenue").alias("product_revenue"))
     )
-    shares = with_group_stats(revenue, ["category_id"], F.sum("product_revenue").alias("category_revenue"))
+    shares = with_group_stats(staged(revenue), ["category_id"], F.sum("product_revenue").alias("category_revenue"))
     return shares.withColumn(
         "revenue_share", F.col("product_revenue") / F.col("category_revenue")
     ).drop("category_revenue")
@@ -171,7 +173,9 @@ def order_complexity_lag(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Distinct products per order beside the employee's previous order."""
     counts = lines.groupBy("order_id").agg(F.countDistinct("product_id").alias("product_count"))
     df = orders.select("employee_id", "order_id").join(counts, "order_id")
-    return lagged(df, ["employee_id"], [F.col("order_id")], "product_count", "previous_complexity")
+    return lagged(
+        df, ["employee_id"], [F.col("order_id")], "product_count", "previous_complexity", sizes=orders
+    )
 
 
 def shipper_usage_share(orders: DataFrame, shippers: DataFrame) -> DataFrame:

@@ -315,16 +315,17 @@ register(
 
 def _landed(t):
     folder = fresh_path(t.spark, "landing")
-    for batch, kind in enumerate(("click", "view")):
-        files.append_batch(event_payloads(t).filter(F.col("type") == kind), folder, str(batch))
+    events = event_payloads(t)
+    files.append_batch(events, folder, "0")
+    files.append_batch(events.filter(F.col("type") == "error"), folder, "1")
     return files.read_json(t.spark, folder).groupBy("batch_id", "type").agg(F.count(F.lit(1)).alias("rows"))
 
 
 register(
     "j22_append_only_landing",
     _landed,
-    """select cast(case event_type when 'click' then 0 else 1 end as integer) as batch_id, event_type as type,
-              count(*) as rows from feed_events where event_type in ('click', 'view') group by all""",
+    """select cast(0 as integer) as batch_id, event_type as type, count(*) as rows from feed_events group by all
+       union all select 1, event_type, count(*) from feed_events where event_type = 'error' group by all""",
 )
 register(
     "j23_top_repos",
