@@ -11,6 +11,7 @@ from tidemark.functions import columns as c
 from tidemark.operators.joins import keys_of
 from tidemark.operators.quality import Rule, expect_or_drop, expect_or_fail
 from tidemark.operators.skew import latest_per_key
+from tidemark.session import staged
 
 EVENT_RULES: tuple[Rule, ...] = (
     expect_or_fail("event_id not null", "event_id is not null"),
@@ -204,11 +205,19 @@ def platform_summary(summary: DataFrame) -> DataFrame:
     """One row of totals over enriched events.
 
     Averages count each known repository and each known contributor once.
+    Events are reduced to pairs of repository and contributor in one pass;
+    all totals come from the pairs.
     """
-    repos = summary.groupBy("repo_name").agg(F.max("stars").alias("stars"))
-    users = summary.groupBy("actor_login").agg(F.max("followers").alias("followers"))
-    events = summary.agg(
-        F.count(F.lit(1)).alias("total_events"), F.countDistinct("primary_language").alias("languages")
+    pairs = staged(
+        summary.groupBy("repo_name", "actor_login", "primary_language").agg(
+            F.count(F.lit(1)).alias("n"), F.max("stars").alias("stars"), F.max("followers").alias("followers")
+        ),
+        "pairs",
+    )
+    repos = pairs.groupBy("repo_name").agg(F.max("stars").alias("stars"))
+    users = pairs.groupBy("actor_login").agg(F.max("followers").alias("followers"))
+    events = pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_events"), F.countDistinct("primary_language").alias("languages")
     )
     repo_totals = repos.agg(F.count("repo_name").alias("repositories"), F.avg("stars").alias("avg_stars"))
     user_totals = users.agg(

@@ -64,16 +64,21 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *aggregates: Column) ->
 
 
 def _slices(df: DataFrame, partition: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows with the number of their range in the whole sort order.
+
+    Range bounds come from a sample, so another evaluation may cut
+    elsewhere: callers stage what they derive from this frame before they
+    read it twice.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(p) for p in partition], *order)
-    # staged: the slice number must be the same in every later read
-    return staged(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
+    return ranged.withColumn("_slice", F.spark_partition_id())
 
 
-def _earlier(partition: Sequence[str]):
-    return (
-        Window.partitionBy(*partition).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _earlier(partition: Sequence[str], slices: int | None = None):
+    """Earlier slices of the same key, all of them or the nearest few."""
+    first = Window.unboundedPreceding if slices is None else -slices
+    return Window.partitionBy(*partition).orderBy("_slice").rowsBetween(first, -1)
 
 
 def running_rows(
@@ -95,14 +100,14 @@ def running_rows(
         return df.withColumn(out, F.sum(value).over(w))
     cut = _slices(df.withColumn("_value", value), partition, order)
     keys = [*partition, "_slice"]
-    totals = cut.groupBy(*keys).agg(F.sum("_value").alias("_part"))
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = staged(cut.withColumn("_here", F.sum("_value").over(w)), "slices")
+    totals = local.groupBy(*keys).agg(F.sum("_value").alias("_part"))
     carry = (
         totals.withColumn("_before", F.sum("_part").over(_earlier(partition)))
         .filter(F.col("_before").isNotNull())
         .drop("_part")
     )
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = cut.withColumn("_here", F.sum("_value").over(w))
     # at most one carry row per slice
     joined = attach(local, F.broadcast(carry), keys)
     total = F.when(
@@ -133,10 +138,11 @@ def lagged(
     cut = _slices(df, partition, order)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
-    local = (
+    local = staged(
         cut.withColumn("_first", F.row_number().over(w) == 1)
         .withColumn("_last", F.lead(F.lit(True)).over(w).isNull())
-        .withColumn(out, F.lag(value).over(w))
+        .withColumn(out, F.lag(value).over(w)),
+        "slices",
     )
     last = local.filter("_last").select(*keys, F.struct(F.col(value).alias("v")).alias("_end"))
     carry = (
@@ -167,11 +173,12 @@ def moving_average(
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
     frame = w.rowsBetween(-preceding, 0)
-    local = (
+    local = staged(
         cut.withColumn("_pos", F.row_number().over(w))
         .withColumn("_tail", F.lead(F.lit(True), preceding).over(w).isNull())
         .withColumn("_sum", F.sum(value).over(frame))
-        .withColumn("_cnt", F.count(value).over(frame))
+        .withColumn("_cnt", F.count(value).over(frame)),
+        "slices",
     )
     # the last rows of each slice, at most ``preceding`` of them, in order
     tails = (
@@ -180,7 +187,8 @@ def moving_average(
         .agg(F.sort_array(F.collect_list(F.struct("_pos", F.col(value).alias("v")))).alias("_t"))
         .withColumn("_t", F.col("_t.v"))
     )
-    earlier = F.flatten(F.collect_list("_t").over(_earlier(partition)))
+    # every slice listed holds at least one row, so this many slices hold enough rows
+    earlier = F.flatten(F.collect_list("_t").over(_earlier(partition, preceding)))
     carry = tails.withColumn("_before", earlier).filter(F.size("_before") > 0).drop("_t")
     joined = attach(local, F.broadcast(carry), keys)
     missing = F.lit(preceding + 1) - F.col("_pos")

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.adapters import BASE_TABLES, Tables
 from tidemark.operators import filters as f
 from tidemark.operators import joins as j
 from tidemark.registry.base import register, rounded
@@ -21,7 +20,7 @@ SCANNED = (
 for _table in SCANNED:
     register(f"a01_scan_{_table.removeprefix('shop_')}", lambda t, n=_table: getattr(t, n), f"select * from {_table}")
 
-for _table in ("customer", "part", "lineitem", "events"):
+for _table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
     register(f"a01_scan_base_{_table}", lambda t, n=_table: t.base(n), f"select * from {_table}")
 
 # ---- projection and filters ---------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import functions as F
 
@@ -67,11 +67,27 @@ class Star:
     """Dimensions read back from files, so that joins know their sizes, and the facts over them."""
 
     def __init__(self, t: Tables):
-        self.dates = staged(star.dim_date_for(t.shop_orders, "order_date"), "dim-date")
-        self.customers = staged(_dim_customer(t), "dim-customer")
-        self.products = staged(_dim_product(t), "dim-product")
-        self.facts = star.fact_sales(t.sale_lines, self.customers, self.products)
-        self.daily = star.fact_sales_daily(self.facts)
+        self._t = t
+
+    @cached_property
+    def dates(self):
+        return staged(star.dim_date_for(self._t.shop_orders, "order_date"), "dim-date")
+
+    @cached_property
+    def customers(self):
+        return staged(_dim_customer(self._t), "dim-customer")
+
+    @cached_property
+    def products(self):
+        return staged(_dim_product(self._t), "dim-product")
+
+    @cached_property
+    def facts(self):
+        return star.fact_sales(self._t.sale_lines, self.customers, self.products)
+
+    @cached_property
+    def daily(self):
+        return star.fact_sales_daily(self.facts)
 
 
 register("i01_dim_date", lambda t: star.dim_date_for(t.shop_orders, "order_date"), f"select * from {CALENDAR_SQL} d")
