@@ -140,13 +140,13 @@ register(
         s.territories_above_average_revenue(
             t.shop_territories, t.shop_staff_territories, t.shop_employees, t.shop_orders, t.shop_lines
         ),
-        4,
+        2,
         "revenue",
     ),
     f"""with earned as (
           select te.territory_id, sum({REV}) as v
           from {_STAFFED} join shop_lines l on l.order_id = o.order_id group by 1)
-        select territory_id, round(v, 4) as revenue from earned where v > (select avg(v) from earned)""",
+        select territory_id, round(v, 2) as revenue from earned where v > (select avg(v) from earned)""",
 )
 register(
     "e16_never_late_shippers",
@@ -244,9 +244,9 @@ register(
 )
 register(
     "f08_rank_of_revenue",
-    lambda t: w.supplier_revenue_rank(t.shop_suppliers, t.shop_products, t.shop_lines),
+    lambda t: w.supplier_revenue_rank(t.shop_suppliers, t.shop_products, t.shop_lines, digits=2),
     f"""with n as (
-          select s.company_name, round(sum({REV}), 4) as total_revenue
+          select s.company_name, round(sum({REV}), 2) as total_revenue
           from shop_suppliers s join shop_products p on p.supplier_id = s.supplier_id
           join shop_lines l on l.product_id = p.product_id group by 1)
         select *, cast(rank() over (order by total_revenue desc) as integer) as supplier_rank from n""",
