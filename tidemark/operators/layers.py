@@ -223,8 +223,8 @@ def platform_summary(summary: DataFrame) -> DataFrame:
     user_totals = users.agg(
         F.count("actor_login").alias("contributors"), F.avg("followers").alias("avg_followers")
     )
-    # three frames of exactly one row
-    return events.crossJoin(F.broadcast(repo_totals)).crossJoin(F.broadcast(user_totals))
+    parts = {name: part.select(name).scalar() for part in (repo_totals, user_totals) for name in part.columns}
+    return events.withColumns(parts)
 
 
 # ---- enrichment targets -------------------------------------------------------------------------

@@ -43,9 +43,6 @@ def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
 
 def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Add the columns of ``lookup`` (one row per key) to ``df``; null keys match each other."""
-    if not keys:
-        # one row by construction: an aggregate without grouping keys
-        return df.crossJoin(F.broadcast(lookup))
     renamed = lookup.withColumnsRenamed({k: f"_lk_{k}" for k in keys})
     joined = df.join(renamed, same(df, renamed, [(k, f"_lk_{k}") for k in keys]), how)
     return joined.drop(*[f"_lk_{k}" for k in keys])
@@ -59,7 +56,8 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *aggregates: Column) ->
     skewed partitions adaptive execution splits.
     """
     if not keys:
-        return attach(df, df.agg(*aggregates), keys)
+        overall = df.agg(*aggregates)
+        return df.withColumns({name: overall.select(name).scalar() for name in overall.columns})
     return attach(df, staged(df.groupBy(*keys).agg(*aggregates), "groupstats"), keys)
 
 

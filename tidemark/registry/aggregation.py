@@ -322,9 +322,9 @@ register(
 register(
     "g07_supplier_performance",
     lambda t: rounded(
-        r.supplier_performance(t.shop_suppliers, t.shop_products, t.shop_lines), 2, "total_revenue"
+        r.supplier_performance(t.shop_suppliers, t.shop_products, t.shop_lines), 1, "total_revenue"
     ),
-    f"select supplier_id, company_name, round(total_revenue, 2) as total_revenue from {_SUPPLIER_SALES} v",
+    f"select supplier_id, company_name, round(total_revenue, 1) as total_revenue from {_SUPPLIER_SALES} v",
 )
 register(
     "g08_suppliers_above_avg",
@@ -332,11 +332,11 @@ register(
         r.above_own_average(
             r.supplier_performance(t.shop_suppliers, t.shop_products, t.shop_lines), "total_revenue"
         ),
-        2,
+        1,
         "total_revenue",
     ),
     f"""with v as {_SUPPLIER_SALES}
-        select supplier_id, company_name, round(total_revenue, 2) as total_revenue from v
+        select supplier_id, company_name, round(total_revenue, 1) as total_revenue from v
         where total_revenue > (select avg(total_revenue) from v)""",
 )
 register(

@@ -244,9 +244,9 @@ register(
 )
 register(
     "f08_rank_of_revenue",
-    lambda t: w.supplier_revenue_rank(t.shop_suppliers, t.shop_products, t.shop_lines, digits=2),
+    lambda t: w.supplier_revenue_rank(t.shop_suppliers, t.shop_products, t.shop_lines, digits=1),
     f"""with n as (
-          select s.company_name, round(sum({REV}), 2) as total_revenue
+          select s.company_name, round(sum({REV}), 1) as total_revenue
           from shop_suppliers s join shop_products p on p.supplier_id = s.supplier_id
           join shop_lines l on l.product_id = p.product_id group by 1)
         select *, cast(rank() over (order by total_revenue desc) as integer) as supplier_rank from n""",

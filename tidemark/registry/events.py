@@ -413,8 +413,8 @@ register(
 register("k03_metrics_while_writing", lambda t: _published(t)[1], METRICS_SQL)
 register(
     "k06_idempotency_count",
-    lambda t: bronze(t, "events").agg(F.count(F.lit(1)).alias("delivered")).crossJoin(
-        F.broadcast(g.silver_events(bronze(t, "events")).agg(F.count(F.lit(1)).alias("kept")))
+    lambda t: bronze(t, "events").agg(F.count(F.lit(1)).alias("delivered")).withColumn(
+        "kept", g.silver_events(bronze(t, "events")).agg(F.count(F.lit(1))).scalar()
     ),
     f"""select (select count(*) from {DELIVERED_SQL} e) as delivered, (select count(*) from feed_events) as kept""",
 )

@@ -231,8 +231,8 @@ register(
 )
 register(
     "c10_left_chain_supplier",
-    lambda t: rounded(j.revenue_per_supplier_all(t.shop_suppliers, t.shop_products, t.shop_lines), 2, "revenue"),
-    f"""select s.supplier_id, s.company_name, round(sum({REV}), 2) as revenue
+    lambda t: rounded(j.revenue_per_supplier_all(t.shop_suppliers, t.shop_products, t.shop_lines), 1, "revenue"),
+    f"""select s.supplier_id, s.company_name, round(sum({REV}), 1) as revenue
         from shop_suppliers s left join shop_products p on p.supplier_id = s.supplier_id
         left join shop_lines l on l.product_id = p.product_id group by 1, 2""",
 )
