@@ -155,8 +155,9 @@ def fact_sales(sale_lines: DataFrame, customers: DataFrame, products: DataFrame)
 def with_fact_key(facts: DataFrame, out: str = "fact_key") -> DataFrame:
     """Unique number per fact row, without a shuffle.
 
-    Nothing refers to it, so it need not repeat between builds; write the
-    result before reading the key twice.
+    Nothing refers to it, so it need not repeat between builds. Use it as
+    the last step of a write: a shuffle after it could mix the numbers of
+    two attempts of one task.
     """
     return facts.select(F.monotonically_increasing_id().alias(out), "*")
 

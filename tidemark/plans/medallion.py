@@ -49,14 +49,14 @@ def run_order(datasets: Mapping[str, Dataset] = DATASETS) -> list[str]:
 def publish(table: SnapshotTable, df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame | None:
     """Write the rows that pass, and make them visible only if no fail rule was broken.
 
-    Rules are counted on the dataset's output during the write itself.
+    Rules are counted on the dataset's output in the tasks that write it.
     Returns the rule counts, None without rules.
     """
     if not rules:
         table.write(df, "REFRESH")
         return None
     watch = RuleWatch(rules, dataset)
-    table.write(watch.watched(df), "REFRESH", before_publish=watch.enforce)
+    table.write(df, "REFRESH", before_publish=watch.enforce, last_step=watch.watched)
     return watch.metrics(table.spark)
 
 

@@ -37,10 +37,17 @@ class SnapshotTable:
         return self.history().agg(F.max("version")).first()[0]
 
     def write(
-        self, df: DataFrame, operation: str = "WRITE", before_publish: Callable[[], None] | None = None
+        self,
+        df: DataFrame,
+        operation: str = "WRITE",
+        before_publish: Callable[[], None] | None = None,
+        last_step: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """Publish ``df`` as the next version and return its number.
 
+        ``last_step`` is a narrow step applied in the tasks that write the
+        files, after the last shuffle. A task that is repeated there leaves
+        only one result behind, so counts and numbers taken there are exact.
         ``before_publish`` runs once the files are written; if it raises,
         the version does not become visible.
         """
@@ -48,14 +55,17 @@ class SnapshotTable:
         version = 0 if last is None else last + 1
         target = f"{self.path}/version={version}"
         # files of an attempt that never reached the history are replaced
-        writer = gathered(df, self.partition_by).write.mode("overwrite")
+        rows = gathered(df, self.partition_by)
+        if last_step:
+            rows = last_step(rows)
+        writer = rows.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(target)
         if before_publish:
             before_publish()
-        rows = self.spark.read.schema(df.schema).parquet(target).count()
-        entry = self.spark.createDataFrame([(version, operation, rows)], "version bigint, operation string, row_count bigint")
+        count = self.spark.read.schema(rows.schema).parquet(target).count()
+        entry = self.spark.createDataFrame([(version, operation, count)], "version bigint, operation string, row_count bigint")
         (
             entry.select("version", F.current_timestamp().alias("written_at"), "operation", "row_count")
             .coalesce(1)
