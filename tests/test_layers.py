@@ -135,6 +135,14 @@ def test_snapshots(spark, tmp_path):
         table.read(5)
 
 
+def test_partitioned_snapshots_keep_types_and_may_be_empty(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "p"), ["code"])
+    table.write(spark.createDataFrame([(1, "007"), (2, None)], "id int, code string"))
+    assert sorted((r.id, r.code) for r in table.read().collect()) == [(1, "007"), (2, None)]
+    table.write(spark.createDataFrame([], "id int, code string"))
+    assert table.read().columns == ["id", "code"] and table.read().count() == 0
+
+
 def test_batches_never_overwrite(spark, tmp_path):
     df = spark.range(2)
     files.append_batch(df, str(tmp_path / "l"), "1")

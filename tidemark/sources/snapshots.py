@@ -7,15 +7,17 @@ writer at a time is assumed.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.tables import gathered
 
-HISTORY_SCHEMA = "version bigint, written_at timestamp, operation string, row_count bigint"
+HISTORY_SCHEMA = "version bigint, written_at timestamp, operation string, row_count bigint, schema_json string"
 
 
 class SnapshotTable:
@@ -24,8 +26,7 @@ class SnapshotTable:
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
 
-    def history(self) -> DataFrame:
-        """version, written_at, operation, row_count; one row per version."""
+    def _log(self) -> DataFrame:
         try:
             return self.spark.read.schema(HISTORY_SCHEMA).parquet(f"{self.path}/_history")
         except AnalysisException as e:
@@ -33,8 +34,12 @@ class SnapshotTable:
                 raise
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
 
+    def history(self) -> DataFrame:
+        """version, written_at, operation, row_count; one row per version."""
+        return self._log().drop("schema_json")
+
     def current_version(self) -> int | None:
-        return self.history().agg(F.max("version")).first()[0]
+        return self._log().agg(F.max("version")).first()[0]
 
     def write(
         self,
@@ -65,9 +70,12 @@ class SnapshotTable:
         if before_publish:
             before_publish()
         count = self.spark.read.schema(rows.schema).parquet(target).count()
-        entry = self.spark.createDataFrame([(version, operation, count)], "version bigint, operation string, row_count bigint")
+        entry = self.spark.createDataFrame(
+            [(version, operation, count, rows.schema.json())],
+            "version bigint, operation string, row_count bigint, schema_json string",
+        )
         (
-            entry.select("version", F.current_timestamp().alias("written_at"), "operation", "row_count")
+            entry.select("version", F.current_timestamp().alias("written_at"), "operation", "row_count", "schema_json")
             .coalesce(1)
             .write.mode("append")
             .parquet(f"{self.path}/_history")
@@ -75,15 +83,15 @@ class SnapshotTable:
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The given version, else the current one."""
-        known = self.history()
-        if version is None:
-            version = known.agg(F.max("version")).first()[0]
-            if version is None:
-                raise LookupError(f"no version of {self.path}")
-        elif known.filter(F.col("version") == version).isEmpty():
-            raise LookupError(f"no version {version} of {self.path}")
-        return self.spark.read.parquet(f"{self.path}/version={version}")
+        """The given version, else the current one, with the schema it was written with."""
+        known = self._log()
+        if version is not None:
+            known = known.filter(F.col("version") == version)
+        entry = known.orderBy(F.desc("version")).first()
+        if entry is None:
+            raise LookupError(f"no version{'' if version is None else f' {version}'} of {self.path}")
+        schema = T.StructType.fromJson(json.loads(entry.schema_json))
+        return self.spark.read.schema(schema).parquet(f"{self.path}/version={entry.version}")
 
     def update(self, assignments: Mapping[str, Column], condition: Column | None = None) -> int:
         """Set columns on the rows that meet the condition, as a new version."""
