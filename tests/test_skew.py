@@ -44,7 +44,7 @@ def result(frame, out):
 class TestWindows:
     @pytest.fixture(autouse=True)
     def limit(self, spark, sliced):
-        spark.conf.set("spark.tidemark.hotGroupRows", "5" if sliced else "100000")
+        spark.conf.set("spark.tidemark.hotGroupRows", "40" if sliced else "100000")
         yield
         spark.conf.unset("spark.tidemark.hotGroupRows")
 

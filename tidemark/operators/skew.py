@@ -29,11 +29,18 @@ def hot_group_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_GROUP_CONF, str(HOT_GROUP_ROWS)))
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether some key combination holds more rows than one task should sort."""
+def slices_needed(df: DataFrame, keys: Sequence[str]) -> int:
+    """0 while every key combination fits a task, else the number of slices to cut all rows into.
+
+    That is at least the shuffle partitions, and enough to keep a slice near
+    the row limit however large the table is.
+    """
+    limit = hot_group_rows(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.agg(F.max("_rows")).first()[0]
-    return top is not None and top > hot_group_rows(df)
+    largest, total = counts.agg(F.max("_rows"), F.sum("_rows")).first()
+    if largest is None or largest <= limit:
+        return 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -61,14 +68,13 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *aggregates: Column) ->
     return attach(df, staged(df.groupBy(*keys).agg(*aggregates), "groupstats"), keys)
 
 
-def _slices(df: DataFrame, partition: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _slices(df: DataFrame, partition: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """Rows with the number of their range in the whole sort order.
 
     Range bounds come from a sample, so another evaluation may cut
     elsewhere: callers stage what they derive from this frame before they
     read it twice.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(p) for p in partition], *order)
     return ranged.withColumn("_slice", F.spark_partition_id())
 
@@ -93,10 +99,11 @@ def running_rows(
     a cheaper frame to measure the groups on, with at least as many rows per
     group as ``df``; for example the scan beneath a join.
     """
-    if not has_hot_group(df if sizes is None else sizes, partition):
+    slices = slices_needed(df if sizes is None else sizes, partition)
+    if not slices:
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
-    cut = _slices(df.withColumn("_value", value), partition, order)
+    cut = _slices(df.withColumn("_value", value), partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = staged(cut.withColumn("_here", F.sum("_value").over(w)), "slices")
@@ -131,9 +138,10 @@ def lagged(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``value`` of the row before, within the partition; ``order`` must be total."""
-    if not has_hot_group(df if sizes is None else sizes, partition):
+    slices = slices_needed(df if sizes is None else sizes, partition)
+    if not slices:
         return df.withColumn(out, F.lag(value).over(Window.partitionBy(*partition).orderBy(*order)))
-    cut = _slices(df, partition, order)
+    cut = _slices(df, partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
     local = staged(
@@ -164,10 +172,11 @@ def moving_average(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over the current row and the ``preceding`` rows before it; ``order`` must be total."""
-    if not has_hot_group(df if sizes is None else sizes, partition):
+    slices = slices_needed(df if sizes is None else sizes, partition)
+    if not slices:
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-preceding, 0)
         return df.withColumn(out, F.avg(value).over(w))
-    cut = _slices(df, partition, order)
+    cut = _slices(df, partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
     frame = w.rowsBetween(-preceding, 0)
@@ -219,7 +228,8 @@ def running_total(
     A hot group is first summed per order value; only these steps are
     accumulated, and the totals are joined back.
     """
-    if not has_hot_group(df if sizes is None else sizes, partition):
+    slices = slices_needed(df if sizes is None else sizes, partition)
+    if not slices:
         w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_last())
         return df.withColumn(out, F.sum(value).over(w))
     steps = staged(df.groupBy(*partition, order).agg(F.sum(value).alias("_step")), "steps")
@@ -242,7 +252,8 @@ def ranked(
     never need to meet in one task.
     """
     key = _order_column(order, descending)
-    if not has_hot_group(df if sizes is None else sizes, partition):
+    slices = slices_needed(df if sizes is None else sizes, partition)
+    if not slices:
         w = Window.partitionBy(*partition).orderBy(key)
         return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w))
     steps = staged(df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n")), "steps")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.operators import aggregates as a
 from tidemark.operators import reports as r
 from tidemark.registry.base import register, rounded
