@@ -127,21 +127,22 @@ def anchor_rows(batch: pa.RecordBatch, texts: list[bytes], window: int, n_bucket
     return [pack(bucket, n_buckets, docs[first], starts[first], hashes[first].astype(np.uint32)), pack(docs[hit, 1] % n_buckets, n_buckets, docs[hit], starts[hit])]
 
 
-def shared_anchors(key: tuple, group: pa.Table) -> pa.Table:
+def shared_anchors(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a bucket's anchors that occur again."""
     sent, known = sent_and_known(group)
     docs, starts = unpack(sent)
     _, number, count = np.unique(hash_array(sent, "hashes", np.uint32), return_inverse=True, return_counts=True)
     hit = count[number] > 1
     more, others = unpack(known)
-    return by_document(np.concatenate([docs[hit], more]), np.concatenate([starts[hit], others]))
+    return np.concatenate([docs[hit], more]), np.concatenate([starts[hit], others])
 
 
-def candidate_windows(starts: list[list[bytes]], bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+def candidate_windows(starts: list[bytes], bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and global position of the windows that hold one of the anchors."""
     total = int(bounds[-1])
     step = np.zeros(total + 1, np.int64)
-    for i, blobs in enumerate(starts):
-        anchors = np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64)
+    for i, blob in enumerate(starts):
+        anchors = np.frombuffer(blob, np.uint32).astype(np.int64)
         low, last = int(bounds[i]), int(bounds[i + 1]) - window
         if last < low:
             continue
@@ -175,12 +176,13 @@ def window_rows(batch: pa.RecordBatch, texts: list[bytes], window: int, n_bucket
     return [pack(bucket, n_buckets, docs[head], starts[head], one[head], two[head]), pack(docs[later, 1] % n_buckets, n_buckets, docs[later], starts[later])]
 
 
-def later_windows(key: tuple, group: pa.Table) -> pa.Table:
+def later_windows(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a bucket's windows that begin earlier elsewhere."""
     sent, known = sent_and_known(group)
     docs, starts = unpack(sent)
     later = not_first(hash_array(sent, "hashes", np.uint64), hash_array(sent, "others", np.uint64), docs, starts)
     more, others = unpack(known)
-    return by_document(np.concatenate([docs[later], more]), np.concatenate([starts[later], others]))
+    return np.concatenate([docs[later], more]), np.concatenate([starts[later], others])
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -188,9 +190,25 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
+def places(packed: DataFrame, find, n_buckets: int) -> DataFrame:
+    """(id, key, starts): what ``find`` returns of each bucket, one row per document.
+
+    A bucket returns one packed row for each bucket of documents, not one for each document.
+    """
+
+    def found(key: tuple, group: pa.Table) -> pa.Table:
+        docs, starts = find(group)
+        return pa.Table.from_batches([pack(docs[:, 1] % n_buckets, n_buckets, docs, starts)])
+
+    def merged(key: tuple, group: pa.Table) -> pa.Table:
+        return by_document(*unpack(group))
+
+    return packed.groupBy("bucket").applyInArrow(found, PACKED).groupBy("bucket").applyInArrow(merged, "id long, key long, starts binary")
+
+
 def later_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, key, starts): word positions where a window begins whose words also begin earlier, packed as unsigned
-    32-bit numbers, possibly in several rows per document; ``key`` is the hash of the text."""
+    32-bit numbers; one row per document that has some; ``key`` is the hash of the text."""
     if window < PERIOD:
         raise ValueError(f"windows need at least {PERIOD} words")
     spark = docs.sparkSession
@@ -206,9 +224,8 @@ def later_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch, texts in slices(batches, limit=MERGE_BYTES):
             yield from window_rows(batch, texts, window, n)
 
-    found = rows.mapInArrow(anchors, PACKED).groupBy("bucket").applyInArrow(shared_anchors, "id long, key long, starts binary")
-    found = found.groupBy("id", "key").agg(F.collect_list("starts").alias("starts"))
-    return rows.join(found, ["id", "key"]).mapInArrow(windows, PACKED).groupBy("bucket").applyInArrow(later_windows, "id long, key long, starts binary")
+    found = places(rows.mapInArrow(anchors, PACKED), shared_anchors, n)
+    return places(rows.join(found, ["id", "key"]).mapInArrow(windows, PACKED), later_windows, n)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -223,16 +240,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     and count as one id; they are returned as null. No documents give no rows. Other columns are not looked at.
     """
     later = later_repeats(docs, id_col, text_col, window)
-    later = later.groupBy("id", "key").agg(F.collect_list("starts").alias("starts"))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             ids, n_words, n_removed, kept = batch.column("id"), [], [], []
-            for text, blobs in zip(texts, batch.column("starts").to_pylist(), strict=True):
+            for text, blob in zip(texts, batch.column("starts").to_pylist(), strict=True):
                 words = text.split()
                 n_words.append(len(words))
-                if blobs:
-                    starts = np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64)
+                if blob:
+                    starts = np.frombuffer(blob, np.uint32).astype(np.int64)
                     step = np.bincount(starts, minlength=len(words) + 1) - np.bincount(np.minimum(starts + window, len(words)), minlength=len(words) + 1)
                     gone = np.cumsum(step[: len(words)]) > 0
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
