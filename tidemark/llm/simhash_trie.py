@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, prepare, slices, word_lists
@@ -70,15 +70,16 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE_WORDS) -> np.ndarray
 
 
 def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): one row per document, the fingerprint as a signed long."""
+    """(id, key, fp): one row per document, the fingerprint as a signed long; key is the hash of the text."""
     prepare(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fingerprints(texts, shingle).view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(fingerprints(texts, shingle).view(np.int64))], ["id", "key", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text")).mapInArrow(run, f"id {kind}, key long, fp long")
 
 
 class Links:
@@ -184,6 +185,17 @@ def linked(distinct: DataFrame, n: int, budget: int = 3, top: int | None = None)
     return pairs.repartition(parts, "low", "high").groupBy("low", "high").applyInArrow(run, "a long, b long")
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, budget: int, shingle: int) -> DataFrame:
+    """(id, key, fp, root, component): key is the hash of the text, root the smallest fingerprint of the group."""
+    marked = staged(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+    distinct = staged(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
+    edges = linked(distinct.select("fp"), distinct.count(), budget)
+    found = components(edges).withColumnRenamed("node", "fp")
+    named = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = named.groupBy("root").agg(F.min("least").alias("component"))
+    return marked.join(named.join(names, "root").select("fp", "root", "component"), "fp")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """Group documents whose fingerprints are linked by steps of at most ``budget`` bits.
 
@@ -193,30 +205,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay repeated. A null id is kept and never names a component unless all ids of the component are null. Very long
     texts are hashed in parts of bounded size. No documents give no rows. Other columns are not looked at.
     """
-    marked = staged(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    edges = linked(distinct.select("fp"), distinct.count(), budget)
-    found = components(edges).withColumnRenamed("node", "fp")
-    named = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = named.groupBy("root").agg(F.min("least").alias("component"))
-    return marked.join(named.join(names, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return _grouped(docs, id_col, text_col, budget, shingle).select("id", "fp", "component")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 3, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group stays: the row with the smallest id, with all its columns.
 
-    Of rows that repeat that id, the one with the smallest (text hash, row) stays. Documents with a null id are
-    represented only where no other id is in their group.
+    A null id comes last; of rows with one id the one with the smaller hash of the text stays, of rows that repeat
+    both the first in the order of all their columns.
     """
-    groups = simhash_components(docs, id_col, text_col, budget, shingle)
-    leaders = groups.where("id <=> component").select(F.col("id").alias("_leader")).distinct()
-    stay = docs.join(leaders, F.col(id_col).eqNullSafe(F.col("_leader")), "left_semi")
-    columns = stay.columns
-    ranked = stay.select("*", F.row_number().over(_first(id_col, text_col, columns)).alias("_rank_in_id"))
-    return ranked.where("_rank_in_id = 1").select(*[F.col(f"`{c}`") for c in columns])
-
-
-def _first(id_col: str, text_col: str, columns: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(text_col), *[F.col(f"`{c}`") for c in columns])
+    groups = _grouped(docs, id_col, text_col, budget, shingle)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    leaders = first.select(F.col("first.id").alias("_leader"), F.col("first.key").alias("_leader_key"))
+    text_key = F.xxhash64(F.col(text_col).cast("string"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stay = docs.join(leaders, F.col(id_col).eqNullSafe(F.col("_leader")) & (text_key == F.col("_leader_key")), "left_semi")
+    order = Window.partitionBy(F.col(id_col), text_key).orderBy(*columns)
+    return stay.select(*columns, F.row_number().over(order).alias("_rank_in_id")).where("_rank_in_id = 1").select(*columns)
