@@ -32,6 +32,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 THRESHOLD = 1.0
 #: Share of the uniform distribution in either model, for transitions without an example.
 UNIFORM = 0.2
+#: Examples of the uniform distribution added after each character, so that few examples say little.
+PRIOR = 16
 #: Documents whose identifiers are counted, about; chosen by the hash of their text.
 TRAINING_DOCUMENTS = 20_000
 
@@ -104,7 +106,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = TRAINING_DOCUME
     totals = [{a: sum(n for p, n in c.items() if p[0] == a) for a in ALPHABET} for c in counts]
 
     def chance(kind: int, a: str, b: str) -> float:
-        own = counts[kind].get(a + b, 0) / totals[kind][a] if totals[kind][a] else 1 / len(ALPHABET)
+        own = (counts[kind].get(a + b, 0) + PRIOR / len(ALPHABET)) / (totals[kind][a] + PRIOR)
         return (1 - UNIFORM) * own + UNIFORM / len(ALPHABET)
 
     return [math.log2(chance(1, a, b) / chance(0, a, b)) for a in ALPHABET for b in ALPHABET]
