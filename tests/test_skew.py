@@ -98,6 +98,27 @@ class TestWindows:
             assert got[r[2]] == 1 + better
 
 
+@pytest.mark.parametrize("limit", ["40", "2"])
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(10,2)"])
+def test_both_ways_have_the_same_rows_and_types(spark, df, kind, limit):
+    typed = df.withColumn("x", F.col("x").cast(kind))
+    order = [F.col(c) for c in ORDER]
+    ways = {
+        "sum": lambda: skew.running_rows(typed, ["k"], order, F.col("x"), "o"),
+        "total": lambda: skew.running_total(typed, ["k"], "v", "x", "o"),
+        "mean": lambda: skew.moving_average(typed, ["k"], order, "x", 2, "o"),
+        "lag": lambda: skew.lagged(typed, ["k"], order, "x", "o"),
+        "rank": lambda: skew.ranked(typed, ["k"], "x", "o"),
+    }
+    for build in ways.values():
+        plain = build()
+        spark.conf.set("spark.tidemark.hotGroupRows", limit)
+        sliced = build()
+        spark.conf.unset("spark.tidemark.hotGroupRows")
+        assert [(f.name, f.dataType) for f in sliced.schema] == [(f.name, f.dataType) for f in plain.schema]
+        assert result(sliced, "o") == result(plain, "o")
+
+
 def test_group_stats_match_null_keys(df, rows):
     got = {(r["k"], r["id"]): r["n"] for r in skew.with_group_stats(df, ["k"], F.count(F.lit(1)).alias("n")).collect()}
     sizes = {k: len(g) for k, g in grouped(rows).items()}

@@ -104,6 +104,6 @@ def test_warehouse(spark, snapshots, tmp_path):
     keys = [r.fact_key for r in t["fact_sales"].collect()]
     assert len(set(keys)) == 4
     customers = rows(star.revenue_and_orders_per_customer(t["fact_sales"], t["dim_customer"]))
-    assert customers == [(1, Decimal("5.00"), 1), (2, Decimal("6.00"), 1)]
+    assert sorted(customers, key=str) == [(1, Decimal("5.00"), 1), (2, Decimal("6.00"), 1), (None, Decimal("4.50"), 1)]
     again = build_warehouse(*args)
     assert rows(again["fact_sales_daily"]) == rows(t["fact_sales_daily"])

@@ -27,6 +27,19 @@ USER_RULES: tuple[Rule, ...] = (expect_or_fail("actor_login not null", "actor_lo
 # ---- silver -------------------------------------------------------------------------------------
 
 
+LINEAGE = ("_ingested_at", "source_file")
+
+
+def newest_first() -> list[Column]:
+    """Order in which one snapshot follows another: ingestion, then the batch number in the path, then the path.
+
+    All files of one run share their ingestion time, and text order would
+    put batch 10 before batch 9.
+    """
+    batch = F.regexp_extract("source_file", r"batch_id=(\d{1,18})(?:/|$)", 1)
+    return [F.col("_ingested_at").desc(), F.when(batch != "", batch).cast("long").desc_nulls_last(), F.col("source_file").desc()]
+
+
 def silver_events(bronze: DataFrame) -> DataFrame:
     """Flat events, one row per id: the latest by event time, then by ingestion."""
     created = c.iso_timestamp(F.col("raw_payload.created_at"))
@@ -37,22 +50,18 @@ def silver_events(bronze: DataFrame) -> DataFrame:
         F.col("raw_payload.repo.name").alias("repo_name"),
         created.alias("created_at"),
         F.to_date(created).alias("created_at_date"),
-        "_ingested_at",
-        "source_file",
+        *LINEAGE,
     )
-    newest = [F.col("created_at").desc_nulls_last(), F.col("_ingested_at").desc(), F.col("source_file")]
-    return latest_per_key(flat, ["event_id"], newest).drop("_ingested_at", "source_file")
+    return latest_per_key(flat, ["event_id"], [F.col("created_at").desc_nulls_last(), *newest_first()]).drop(*LINEAGE)
 
 
 def _silver_entity(bronze: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
     flat = bronze.select(
         *[value.alias(name) for name, value in fields.items()],
         F.to_date("_ingested_at").alias("ingestion_date"),
-        "_ingested_at",
-        "source_file",
+        *LINEAGE,
     )
-    newest = [F.col("_ingested_at").desc(), F.col("source_file").desc()]
-    return latest_per_key(flat, [key], newest).drop("_ingested_at", "source_file")
+    return latest_per_key(flat, [key], newest_first()).drop(*LINEAGE)
 
 
 def silver_repos(bronze: DataFrame) -> DataFrame:

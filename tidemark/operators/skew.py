@@ -2,16 +2,17 @@
 
 A Spark window puts every row of a partition key into one task. The
 functions here first count rows per key (a map-side combined aggregate).
-While the largest group fits a task they use the plain window. Otherwise
-the rows are range partitioned on the whole sort key, so a hot key is cut
-into slices; each slice runs on its own and takes over a carry from the
-slices before it. At most one key continues into a slice, so the carry
+Keys that fit a task use the plain window. The rows of larger keys, and
+only those, are range partitioned on the whole sort key, so a hot key is
+cut into slices; each slice runs on its own and takes over a carry from
+the slices before it. At most one key continues into a slice, so the carry
 table never has more rows than there are slices and may be broadcast.
+Both ways give the same rows and types.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -29,18 +30,47 @@ def hot_group_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_GROUP_CONF, str(HOT_GROUP_ROWS)))
 
 
-def slices_needed(df: DataFrame, keys: Sequence[str]) -> int:
-    """0 while every key combination fits a task, else the number of slices to cut all rows into.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int]:
+    """Key combinations that do not fit a task, and the number of slices to cut their rows into; (None, 0) if all fit.
 
-    That is at least the shuffle partitions, and enough to keep a slice near
-    the row limit however large the table is.
+    There are at most rows / limit such keys. The slices are at least the
+    shuffle partitions, and enough to keep one near the row limit.
     """
     limit = hot_group_rows(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, total = counts.agg(F.max("_rows"), F.sum("_rows")).first()
-    if largest is None or largest <= limit:
-        return 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
+    hot = staged(counts, "hotkeys")
+    total = hot.agg(F.sum("_rows")).first()[0]
+    if not total:
+        return None, 0
+    return hot.drop("_rows"), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+
+
+def by_group_size(
+    df: DataFrame,
+    keys: Sequence[str],
+    sizes: DataFrame | None,
+    plain: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame, int], DataFrame],
+) -> DataFrame:
+    """``plain`` over the rows of keys that fit a task, ``sliced`` over the others, in the types of ``plain``.
+
+    ``sizes`` is a cheaper frame to measure the groups on, with at least as
+    many rows per group as ``df``; for example the scan beneath a join.
+    """
+    hot, slices = hot_keys(df if sizes is None else sizes, keys)
+    if hot is None:
+        return plain(df)
+    if not keys:
+        return as_types(sliced(df, slices), plain(df))
+    marks = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    match = same(df, marks, [(k, f"_hot_{k}") for k in keys])
+    rest = plain(df.join(F.broadcast(marks), match, "left_anti"))
+    return rest.unionByName(as_types(sliced(df.join(F.broadcast(marks), match, "left_semi"), slices), rest))
+
+
+def as_types(df: DataFrame, model: DataFrame) -> DataFrame:
+    """Columns of ``model`` by name, cast to its types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in model.schema.fields])
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -95,14 +125,22 @@ def running_rows(
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the partition to the current row.
 
-    ``order`` must be total within a partition. ``sizes``, here and below, is
-    a cheaper frame to measure the groups on, with at least as many rows per
-    group as ``df``; for example the scan beneath a join.
+    ``order`` must be total within a partition. For ``sizes``, here and
+    below, see ``by_group_size``.
     """
-    slices = slices_needed(df if sizes is None else sizes, partition)
-    if not slices:
-        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(w))
+    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return by_group_size(
+        df,
+        partition,
+        sizes,
+        lambda rows: rows.withColumn(out, F.sum(value).over(w)),
+        lambda rows, slices: _running_in_slices(rows, slices, partition, order, value, out),
+    )
+
+
+def _running_in_slices(
+    df: DataFrame, slices: int, partition: Sequence[str], order: Sequence[Column], value: Column, out: str
+) -> DataFrame:
     cut = _slices(df.withColumn("_value", value), partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -138,9 +176,19 @@ def lagged(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``value`` of the row before, within the partition; ``order`` must be total."""
-    slices = slices_needed(df if sizes is None else sizes, partition)
-    if not slices:
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*partition).orderBy(*order)))
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return by_group_size(
+        df,
+        partition,
+        sizes,
+        lambda rows: rows.withColumn(out, F.lag(value).over(w)),
+        lambda rows, slices: _lagged_in_slices(rows, slices, partition, order, value, out),
+    )
+
+
+def _lagged_in_slices(
+    df: DataFrame, slices: int, partition: Sequence[str], order: Sequence[Column], value: str, out: str
+) -> DataFrame:
     cut = _slices(df, partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -172,10 +220,30 @@ def moving_average(
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over the current row and the ``preceding`` rows before it; ``order`` must be total."""
-    slices = slices_needed(df if sizes is None else sizes, partition)
-    if not slices:
-        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-preceding, 0)
-        return df.withColumn(out, F.avg(value).over(w))
+    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-preceding, 0)
+    return by_group_size(
+        df,
+        partition,
+        sizes,
+        lambda rows: rows.withColumn(out, F.avg(value).over(w)),
+        lambda rows, slices: _average_in_slices(rows, slices, partition, order, value, preceding, out),
+    )
+
+
+def _average_in_slices(
+    df: DataFrame,
+    slices: int,
+    partition: Sequence[str],
+    order: Sequence[Column],
+    value: str,
+    preceding: int,
+    out: str,
+) -> DataFrame:
+    """Sums stay in the type of a sum of the value, so decimals stay decimals."""
+    kinds = df.select(F.sum(value).alias("total"), F.avg(value).alias("mean")).schema
+    total_type, mean_type = kinds["total"].dataType, kinds["mean"].dataType
+    if mean_type.typeName() == "double":
+        total_type = mean_type
     cut = _slices(df, partition, order, slices)
     keys = [*partition, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -197,16 +265,19 @@ def moving_average(
     # every slice listed holds at least one row, so this many slices hold enough rows
     earlier = F.flatten(F.collect_list("_t").over(_earlier(partition, preceding)))
     carry = tails.withColumn("_before", earlier).filter(F.size("_before") > 0).drop("_t")
-    joined = attach(local, F.broadcast(carry), keys)
+    # a carry row holds up to ``preceding`` values of each of as many slices, so its size decides on the join
+    joined = attach(local, staged(carry, "carry"), keys)
     missing = F.lit(preceding + 1) - F.col("_pos")
     borrowed = F.when(
         (missing > 0) & F.col("_before").isNotNull(),
         F.slice("_before", -F.least(missing, F.size("_before")), F.least(missing, F.size("_before"))),
-    ).otherwise(F.array().cast("array<double>"))
+    ).otherwise(F.array().cast(df.select(F.array(value).alias("a")).schema["a"].dataType))
     borrowed = F.filter(borrowed, lambda x: x.isNotNull())
-    total = F.coalesce("_sum", F.lit(0.0)) + F.aggregate(borrowed, F.lit(0.0), lambda a, x: a + x)
+    zero = F.lit(0).cast(total_type)
+    borrowed_sum = F.aggregate(borrowed, zero, lambda a, x: (a + x.cast(total_type)).cast(total_type))
+    total = (F.coalesce(F.col("_sum").cast(total_type), zero) + borrowed_sum).cast(total_type)
     count = F.col("_cnt") + F.size(borrowed)
-    return joined.withColumn(out, F.when(count > 0, total / count)).drop(
+    return joined.withColumn(out, F.when(count > 0, (total / count).cast(mean_type))).drop(
         "_slice", "_pos", "_tail", "_sum", "_cnt", "_before"
     )
 
@@ -228,13 +299,14 @@ def running_total(
     A hot group is first summed per order value; only these steps are
     accumulated, and the totals are joined back.
     """
-    slices = slices_needed(df if sizes is None else sizes, partition)
-    if not slices:
-        w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_last())
-        return df.withColumn(out, F.sum(value).over(w))
-    steps = staged(df.groupBy(*partition, order).agg(F.sum(value).alias("_step")), "steps")
-    totals = running_rows(steps, partition, [F.col(order).asc_nulls_last()], F.col("_step"), out)
-    return attach(df, staged(totals.drop("_step"), "totals"), [*partition, order])
+    w = Window.partitionBy(*partition).orderBy(F.col(order).asc_nulls_last())
+
+    def stepwise(rows: DataFrame, slices: int) -> DataFrame:
+        steps = staged(rows.groupBy(*partition, order).agg(F.sum(value).alias("_step")), "steps")
+        totals = running_rows(steps, partition, [F.col(order).asc_nulls_last()], F.col("_step"), out)
+        return attach(rows, staged(totals.drop("_step"), "totals"), [*partition, order])
+
+    return by_group_size(df, partition, sizes, lambda rows: rows.withColumn(out, F.sum(value).over(w)), stepwise)
 
 
 def ranked(
@@ -246,25 +318,33 @@ def ranked(
     dense: bool = False,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """RANK or DENSE_RANK of ``order`` within the partition; nulls rank last.
+    """RANK or DENSE_RANK of ``order`` within the partition, as a long; nulls rank last.
 
     In a hot group rows are first counted per order value, so equal values
     never need to meet in one task.
     """
     key = _order_column(order, descending)
-    slices = slices_needed(df if sizes is None else sizes, partition)
-    if not slices:
-        w = Window.partitionBy(*partition).orderBy(key)
-        return df.withColumn(out, (F.dense_rank() if dense else F.rank()).over(w))
-    steps = staged(df.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n")), "steps")
-    if dense:
-        ranks = numbered(steps, partition, [key], out)
-    else:
-        ranks = running_rows(steps, partition, [key], F.col("_n"), out).withColumn(
-            out, F.col(out) - F.col("_n") + 1
-        )
-    ranks = ranks.withColumn(out, F.col(out).cast("int")).drop("_n")
-    return attach(df, staged(ranks, "ranks"), [*partition, order])
+    rank = (F.dense_rank() if dense else F.rank()).over(Window.partitionBy(*partition).orderBy(key)).cast("long")
+
+    def stepwise(rows: DataFrame, slices: int) -> DataFrame:
+        steps = staged(rows.groupBy(*partition, order).agg(F.count(F.lit(1)).alias("_n")), "steps")
+        if dense:
+            ranks = numbered(steps, partition, [key], out)
+        else:
+            ranks = running_rows(steps, partition, [key], F.col("_n"), out).withColumn(out, F.col(out) - F.col("_n") + 1)
+        return attach(rows, staged(ranks.drop("_n"), "ranks"), [*partition, order])
+
+    return by_group_size(df, partition, sizes, lambda rows: rows.withColumn(out, rank), stepwise)
+
+
+def top_ranked(df: DataFrame, partition: Sequence[str], order: str, n: int, out: str, descending: bool = True) -> DataFrame:
+    """Rows of rank ``n`` or better, with their rank as a long; ties stay.
+
+    Spark keeps only such rows of each input partition before the shuffle
+    (window group limit), so a hot key shrinks on the map side.
+    """
+    w = Window.partitionBy(*partition).orderBy(_order_column(order, descending))
+    return df.withColumn(out, F.rank().over(w)).filter(F.col(out) <= n).withColumn(out, F.col(out).cast("long"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

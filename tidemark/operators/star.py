@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import columns as c
-from tidemark.operators.skew import latest_per_key, numbered, ranked
+from tidemark.operators.skew import latest_per_key, numbered, top_ranked
 from tidemark.session import staged
 
 
@@ -169,9 +169,12 @@ def fact_sales_daily(facts: DataFrame) -> DataFrame:
 
 
 def revenue_per_day_and_product(daily: DataFrame, dates: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue by day and product, all versions of a product together."""
+    """Revenue by day and product, all versions of a product together.
+
+    Sales before a product's first version are kept, under a null product.
+    """
     return (
-        daily.join(products.select("product_key", "product_id", "product_name"), "product_key")
+        daily.join(products.select("product_key", "product_id", "product_name"), "product_key", "left")
         .join(dates.select("date_key", "full_date"), "date_key")
         .groupBy("full_date", "product_id", "product_name")
         .agg(F.sum("total_revenue").cast("decimal(18,2)").alias("revenue"))
@@ -179,10 +182,13 @@ def revenue_per_day_and_product(daily: DataFrame, dates: DataFrame, products: Da
 
 
 def revenue_and_orders_per_customer(facts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Revenue and distinct orders per customer, all versions of a customer together."""
+    """Revenue and distinct orders per customer, all versions of a customer together.
+
+    Sales before a customer's first version are kept, under a null customer.
+    """
     per_order = facts.groupBy("customer_key", "order_id").agg(F.sum("revenue").alias("revenue"))
     return (
-        per_order.join(customers.select("customer_key", "customer_id"), "customer_key")
+        per_order.join(customers.select("customer_key", "customer_id"), "customer_key", "left")
         .groupBy("customer_id")
         .agg(
             F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
@@ -192,9 +198,10 @@ def revenue_and_orders_per_customer(facts: DataFrame, customers: DataFrame) -> D
 
 
 def top_products_per_month(daily: DataFrame, dates: DataFrame, products: DataFrame, top: int) -> DataFrame:
-    """The best products of each month by quantity, with revenue; ties stay."""
+    """The best products of each month by quantity, with revenue; ties stay, sales without a product version count as
+    one product."""
     sold = (
-        daily.join(products.select("product_key", "product_id"), "product_key")
+        daily.join(products.select("product_key", "product_id"), "product_key", "left")
         .join(dates.select("date_key", "year", "month"), "date_key")
         .groupBy("year", "month", "product_id")
         .agg(
@@ -202,7 +209,7 @@ def top_products_per_month(daily: DataFrame, dates: DataFrame, products: DataFra
             F.sum("total_revenue").cast("decimal(18,2)").alias("revenue"),
         )
     )
-    return ranked(staged(sold, "sold"), ["year", "month"], "quantity", "product_rank").filter(F.col("product_rank") <= top)
+    return top_ranked(sold, ["year", "month"], "quantity", top, "product_rank")
 
 
 def order_value_per_month(facts: DataFrame, dates: DataFrame) -> DataFrame:

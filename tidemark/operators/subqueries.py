@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.operators.aggregates import staff_orders
 from tidemark.operators.joins import keys_of, order_values, revenue_expr
-from tidemark.operators.skew import with_group_stats
+from tidemark.operators.skew import top_ranked, with_group_stats
 from tidemark.session import staged
 
 
@@ -101,14 +102,10 @@ def customers_only_discounted(customers: DataFrame, orders: DataFrame, lines: Da
 
 def dearest_per_supplier(products: DataFrame) -> DataFrame:
     """The most expensive products of each supplier; ties stay."""
-    priced = with_group_stats(
-        products.select("product_id", "product_name", "unit_price", "supplier_id"),
-        ["supplier_id"],
-        F.max("unit_price").alias("top_price"),
+    priced = products.select("product_id", "product_name", "unit_price", "supplier_id").filter(
+        F.col("supplier_id").isNotNull() & F.col("unit_price").isNotNull()
     )
-    return priced.filter(
-        F.col("supplier_id").isNotNull() & (F.col("unit_price") == F.col("top_price"))
-    ).select("product_id", "product_name", "unit_price")
+    return top_ranked(priced, ["supplier_id"], "unit_price", 1, "_rank").drop("_rank", "supplier_id")
 
 
 def shippers_above_average_freight(orders: DataFrame, shippers: DataFrame) -> DataFrame:
@@ -221,11 +218,12 @@ def product_dependency(orders: DataFrame, lines: DataFrame, above: float) -> Dat
 
 
 def dominant_lines(lines: DataFrame, above: float) -> DataFrame:
-    """Order lines that make up more than a share of their order's value."""
+    """Order lines that make up more than a share of their order's value; an order's lines fit a task by nature."""
     valued = lines.select("order_id", "product_id", revenue_expr().alias("product_value"))
-    shares = with_group_stats(valued, ["order_id"], F.sum("product_value").alias("order_value"))
+    whole = F.sum("product_value").over(Window.partitionBy("order_id"))
     return (
-        shares.withColumn("share", F.col("product_value") / F.col("order_value"))
+        valued.withColumn("order_value", whole)
+        .withColumn("share", F.col("product_value") / F.col("order_value"))
         .filter(F.col("share") > above)
         .select("order_id", "product_id", "product_value", "share")
     )

@@ -196,7 +196,7 @@ register(
     "f01_rank_partition",
     lambda t: w.price_rank_in_category(t.shop_products),
     """select category_id, product_id, product_name, unit_price,
-              cast(rank() over (partition by category_id order by unit_price desc nulls last) as integer) as price_rank
+              rank() over (partition by category_id order by unit_price desc nulls last) as price_rank
        from shop_products""",
 )
 register(
@@ -233,7 +233,7 @@ register(
     """with n as (
          select e.employee_id, count(o.order_id) as total_orders
          from shop_employees e join shop_orders o on o.employee_id = e.employee_id group by 1)
-       select *, cast(rank() over (order by total_orders desc) as integer) as employee_rank from n""",
+       select *, rank() over (order by total_orders desc) as employee_rank from n""",
 )
 register(
     "f07_running_quantity",
@@ -249,7 +249,7 @@ register(
           select s.company_name, round(sum({REV}), 1) as total_revenue
           from shop_suppliers s join shop_products p on p.supplier_id = s.supplier_id
           join shop_lines l on l.product_id = p.product_id group by 1)
-        select *, cast(rank() over (order by total_revenue desc) as integer) as supplier_rank from n""",
+        select *, rank() over (order by total_revenue desc) as supplier_rank from n""",
 )
 register(
     "f09_row_number_country",
@@ -273,7 +273,7 @@ register(
     """with n as (
          select territory_id, count(employee_id) as employee_count
          from shop_staff_territories join shop_territories using (territory_id) group by 1)
-       select *, cast(rank() over (order by employee_count desc) as integer) as territory_rank from n""",
+       select *, rank() over (order by employee_count desc) as territory_rank from n""",
 )
 register(
     "f12_rank_shippers",
@@ -281,7 +281,7 @@ register(
     """with n as (
          select s.company_name, round(sum(o.freight), 6) as total_freight
          from shop_orders o join shop_shippers s on s.shipper_id = o.ship_via group by 1)
-       select *, cast(rank() over (order by total_freight desc) as integer) as shipper_rank from n""",
+       select *, rank() over (order by total_freight desc) as shipper_rank from n""",
 )
 register(
     "f13_lag_freight",
@@ -305,7 +305,7 @@ register(
     f"""with n as (
           select o.customer_id, round(sum({REV}), 4) as total_revenue
           from shop_orders o join shop_lines l on l.order_id = o.order_id group by 1)
-        select *, cast(dense_rank() over (order by total_revenue desc nulls last) as integer) as revenue_rank from n""",
+        select *, dense_rank() over (order by total_revenue desc nulls last) as revenue_rank from n""",
 )
 register(
     "f16_share_of_category",
@@ -348,7 +348,7 @@ register(
     "f20_rank_bill_by_day",
     lambda t: w.bill_rank_in_day(t.tips),
     """select day, total_bill, tip,
-              cast(rank() over (partition by day order by total_bill desc) as integer) as bill_rank from tips""",
+              rank() over (partition by day order by total_bill desc) as bill_rank from tips""",
 )
 register(
     "f21_running_total_by_day",
@@ -360,7 +360,7 @@ register(
     "f22_tip_rank",
     lambda t: rounded(w.tip_rank_in_day(t.tips), 6, "tip_pct"),
     """select day, total_bill, tip, round(tip / total_bill, 6) as tip_pct,
-              cast(rank() over (partition by day order by tip / total_bill desc) as integer) as tip_rank from tips""",
+              rank() over (partition by day order by tip / total_bill desc) as tip_rank from tips""",
 )
 register(
     "f23_dedup_latest",

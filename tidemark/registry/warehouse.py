@@ -201,7 +201,7 @@ register(
           select cast(year(full_date) as integer) as year, cast(month(full_date) as integer) as month, product_id,
                  cast(sum(quantity) as bigint) as quantity, cast(sum(revenue) as decimal(18,2)) as revenue
           from {FACTS_SQL} f group by 1, 2, 3)
-        select *, cast(rank() over (partition by year, month order by quantity desc) as integer) as product_rank
+        select *, rank() over (partition by year, month order by quantity desc) as product_rank
         from sold qualify product_rank <= 5""",
 )
 register(
