@@ -204,12 +204,13 @@ class Labeller:
 
     def _way(self, way: str, x: np.ndarray, mask: np.ndarray) -> list[tuple]:
         n = x.shape[0]
-        h, c, out = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), []
+        h, c, out = np.zeros((n, HIDDEN), self.p["o"].dtype), np.zeros((n, HIDDEN), self.p["o"].dtype), []
         steps = range(x.shape[1]) if way == "f" else range(x.shape[1] - 1, -1, -1)
         drive = x @ self.p[way + "w"] + self.p[way + "c"]
         for t in steps:
             z = drive[:, t] + h @ self.p[way + "r"]
-            f, i, o = (sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
+            gates = sigmoid(z[:, : 3 * HIDDEN])
+            f, i, o = (gates[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
             g = np.tanh(z[:, 3 * HIDDEN :])
             new = f * c + i * g
             live = mask[:, t, None]
@@ -220,7 +221,7 @@ class Labeller:
         return out
 
     def forward(self, x: np.ndarray, mask: np.ndarray) -> tuple:
-        states = np.zeros((*x.shape[:2], 2 * HIDDEN))
+        states = np.zeros((*x.shape[:2], 2 * HIDDEN), self.p["o"].dtype)
         ways = {}
         for k, way in enumerate("fb"):
             ways[way] = self._way(way, x, mask)
@@ -231,19 +232,19 @@ class Labeller:
     def gradient(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross entropy of blocks, through time in both directions."""
         states, ways, p = self.forward(x, mask)
-        e = np.where(mask, p - y, 0.0) / mask.sum()
+        e = (np.where(mask, p - y, 0.0) / mask.sum()).astype(self.p["o"].dtype)
         out = {"o": np.einsum("nt,nth->h", e, states), "d": e.sum(keepdims=True).ravel()}
         for k, way in enumerate("fb"):
-            dz_all = np.zeros((*x.shape[:2], 4 * HIDDEN))
+            dz_all = np.zeros((*x.shape[:2], 4 * HIDDEN), e.dtype)
             dr = np.zeros_like(self.p[way + "r"])
-            dh, dc = np.zeros((x.shape[0], HIDDEN)), np.zeros((x.shape[0], HIDDEN))
+            dh = dc = np.zeros((x.shape[0], HIDDEN), e.dtype)
             for t, f, i, o, g, old_h, old_c, c, _ in reversed(ways[way]):
                 live = mask[:, t, None]
                 dh = dh + e[:, t, None] * self.p["o"][k * HIDDEN : (k + 1) * HIDDEN]
                 th = np.tanh(c)
                 dcell = dc + dh * o * (1 - th * th)
                 dz = np.concatenate([dcell * old_c * f * (1 - f), dcell * g * i * (1 - i), dh * th * o * (1 - o), dcell * i * (1 - g * g)], axis=1)
-                dz = np.where(live, dz, 0.0)
+                dz = dz * live
                 dz_all[:, t] = dz
                 dr += old_h.T @ dz
                 dh = np.where(live, dz @ self.p[way + "r"].T, dh)
@@ -252,19 +253,23 @@ class Labeller:
         return out
 
     def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = 12, batch: int = 24, rate: float = 1e-2) -> Labeller:
-        """Adam on batches of pages; the same input gives the same network. Without pages everything is main text."""
-        pages = [p for p in pages if len(p[0])]
+        """Adam on batches of pages of like length; the same input gives the same network. Without pages everything is
+        main text."""
+        pages = sorted((p for p in pages if len(p[0])), key=lambda p: len(p[0]))
         if not pages:
             self.p["d"][0] = 1.0
         rng, step = np.random.default_rng(5), 0
         m, v = ({k: 0.0 for k in self.p} for _ in range(2))
+        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+        groups = []
+        for i in range(0, len(pages), batch):
+            x, mask = padded([f for f, _ in pages[i : i + batch]])
+            y = np.zeros(mask.shape, np.float32)
+            y[mask] = np.concatenate([labels for _, labels in pages[i : i + batch]])
+            groups.append((x, mask, y))
         for turn in range(rounds):
-            order = rng.permutation(len(pages))
-            for i in range(0, len(order), batch):
-                x, mask = padded([pages[k][0] for k in order[i : i + batch]])
-                y = np.zeros(mask.shape)
-                for row, k in enumerate(order[i : i + batch]):
-                    y[row, : len(pages[k][1])] = pages[k][1]
+            for k in rng.permutation(len(groups)):
+                x, mask, y = groups[k]
                 step += 1
                 for k, g in self.gradient(x, mask, y).items():
                     g = g + 1e-5 * self.p[k]
@@ -370,16 +375,30 @@ def mixed(blocks: list[Block], labels: list[bool], rng: np.random.Generator) ->
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> Labeller:
-    """Fit a labeller on weak labels of at most ``sample`` pages of at most ``chars`` characters, by hash of their id."""
+    """Fit a labeller on weak labels of at most ``sample`` pages of at most ``chars`` characters, by hash of their id.
+
+    The sample is bounded, so one task holds it; that task sends back the weights, not the pages."""
+    prepare(pages.sparkSession)
     short = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).where(F.length("html") <= chars)
-    rows = short.orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(sample).collect()  # bounded by sample x chars
-    rng, encode, examples = np.random.default_rng(7), Encoder(), []
-    for r in rows:
-        blocks = blocks_of(r.html)
-        labels = [weak_label(b) for b in blocks]
-        examples.append((blocks, labels))
-        examples += [mixed(blocks, labels, rng) for _ in range(COPIES)]
-    return Labeller().fit([(encode(b), np.array(y, float)) for b, y in examples])
+    chosen = short.orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(sample).select("html")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng, encode, examples = np.random.default_rng(7), Encoder(), []
+        for batch in batches:
+            for page in batch.column("html").to_pylist():
+                blocks = blocks_of(page)
+                labels = [weak_label(b) for b in blocks]
+                examples.append((blocks, labels))
+                examples += [mixed(blocks, labels, rng) for _ in range(COPIES)]
+        fitted = Labeller().fit([(encode(b), np.array(y, float)) for b, y in examples])
+        yield pa.RecordBatch.from_arrays([pa.array(list(fitted.p)), pa.array([v.astype(np.float32).tobytes() for v in fitted.p.values()])], ["name", "weights"])
+
+    found = chosen.coalesce(1).mapInArrow(fit, "name string, weights binary").collect()  # the network alone
+    if not found:
+        return Labeller().fit([])
+    network = Labeller()
+    network.p = {r.name: np.frombuffer(bytes(r.weights), np.float32).reshape(network.p[r.name].shape) for r in found}
+    return network
 
 
 def extract(pages: DataFrame, labeller: Labeller, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
