@@ -432,3 +432,20 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, **{k: 200 for k in range(200, 260)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_filters_keep_columns_with_clashing_names(spark):
+    names = ["secrets", "_base", "_more", "_bad", "_leader", "_leader_key", "_rank_in_id", "id", "key", "fp", "item"]
+    leak = "a passage of ten words that a test item holds"
+    texts = [(1, "the same text here"), (1, "the same text here"), (2, "the same text here"), (3, leak), (4, None), (None, "token = abcdefgh12345678")]
+    frame = spark.createDataFrame([(i, t, *range(len(names))) for i, t in texts], f"doc_id long, text string, {', '.join(n + ' long' for n in names)}")
+    items = spark.createDataFrame([("x", leak, 1)], "item_id string, text string, id long")
+    extra = tuple(range(len(names)))
+    clean = decontaminate.clean_documents(frame, items)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, frame.where("doc_id is null or doc_id != 3").collect()))
+    single = {(r.doc_id, r.text, *r[2:]) for r in simhash_trie.dedup(frame).collect()}
+    assert single == {(1, "the same text here", *extra), (3, leak, *extra), (4, None, *extra), (None, "token = abcdefgh12345678", *extra)}
+    hidden = secret_scan.redact(frame)
+    assert hidden.columns == frame.columns
+    got = [(r.doc_id, r.text, *r[2:]) for r in hidden.collect()]
+    assert (None, "[SECRET]", *extra) in got and len(got) == len(texts) and (4, None, *extra) in got

@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(taken: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``taken`` has it."""
+    names = {c.lower() for c in taken.columns}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def binary(column: pa.Array) -> pa.Array:
     """A text column as bytes, nulls as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import codes, prepare, slices, word_lists
+from tidemark.llm.common import codes, prepare, slices, spare, word_lists
 
 LEAST = 5
 COVERAGE = 0.6
@@ -219,5 +219,6 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that match no item, with all their columns. Rows that share an id go or stay together;
     rows with a null id are judged as one. The ids that go are distinct before the join."""
-    bad = contaminated_pairs(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    name = spare(docs, "_bad")
+    bad = contaminated_pairs(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias(name)).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import spare
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -126,21 +127,22 @@ def markov_spans(text: Column, ratios: list[float], threshold: float = THRESHOLD
     return F.when(text.rlike(RUN), _spans(text, RUN, 3, keep)).otherwise(_none())
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", ratios: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Add the column ``secrets``: array of (start, end, kind), by start, then kind in the order of KINDS.
+def find_secrets(docs: DataFrame, text_col: str = "text", ratios: list[float] | None = None, threshold: float = THRESHOLD, into: str = "secrets") -> DataFrame:
+    """Add the column ``into``: array of (start, end, kind), by start, then kind in the order of KINDS.
 
     Offsets are code points, the end exclusive. A run found by the models that touches a pattern's match is left to
     the pattern. Models are fitted on ``docs`` unless ``ratios`` is given.
 
-    A null or empty text has no secrets. Repeated rows each get theirs. A column already named ``secrets`` is
+    A null or empty text has no secrets. Repeated rows each get theirs. A column already named ``into`` is
     replaced; all others are kept as they are. No documents give no rows.
     """
     ratios = train(docs, text_col) if ratios is None else ratios
     text = _text(text_col)
-    work = docs.withColumns({"_base": base_spans(text), "_more": markov_spans(text, ratios, threshold)})
-    apart = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    plain = F.transform(F.concat("_base", apart), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return work.withColumn("secrets", F.transform(F.array_sort(plain), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop("_base", "_more")
+    base, more = spare(docs, "_base"), spare(docs, "_more")
+    work = docs.withColumns({base: base_spans(text), more: markov_spans(text, ratios, threshold)})
+    apart = F.filter(more, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    plain = F.transform(F.concat(base, apart), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return work.withColumn(into, F.transform(F.array_sort(plain), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop(base, more)
 
 
 def span_text(spans: Column) -> Column:
@@ -154,7 +156,8 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]
 
     Overlapping spans are replaced together. A null text stays null. See find_secrets for the other cases.
     """
-    found = find_secrets(docs, text_col, ratios)
+    secrets = spare(docs, "secrets")
+    found = find_secrets(docs, text_col, ratios, into=secrets)
     text, columns = F.col(text_col), docs.columns
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -163,6 +166,6 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]
         more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(placeholder))
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(inside, state["out"]).otherwise(more).alias("out"))
 
-    clean = F.aggregate("secrets", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.when(F.size("secrets") > 0, clean).otherwise(text)
+    clean = F.aggregate(secrets, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    changed = F.when(F.size(secrets) > 0, clean).otherwise(text)
     return found.withColumn(text_col, changed).select(*[F.col(f"`{c}`") for c in columns])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, prepare, slices, word_lists
+from tidemark.llm.common import components, prepare, slices, spare, word_lists
 from tidemark.session import staged
 
 BITS = 64
@@ -216,9 +216,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budge
     """
     groups = _grouped(docs, id_col, text_col, budget, shingle)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
-    leaders = first.select(F.col("first.id").alias("_leader"), F.col("first.key").alias("_leader_key"))
+    leader, leader_key, rank = (spare(docs, x) for x in ("_leader", "_leader_key", "_rank_in_id"))
+    leaders = first.select(F.col("first.id").alias(leader), F.col("first.key").alias(leader_key))
     text_key = F.xxhash64(F.col(text_col).cast("string"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    stay = docs.join(leaders, F.col(id_col).eqNullSafe(F.col("_leader")) & (text_key == F.col("_leader_key")), "left_semi")
+    stay = docs.join(leaders, F.col(id_col).eqNullSafe(F.col(leader)) & (text_key == F.col(leader_key)), "left_semi")
     order = Window.partitionBy(F.col(id_col), text_key).orderBy(*columns)
-    return stay.select(*columns, F.row_number().over(order).alias("_rank_in_id")).where("_rank_in_id = 1").select(*columns)
+    return stay.select(*columns, F.row_number().over(order).alias(rank)).where(F.col(rank) == 1).select(*columns)
