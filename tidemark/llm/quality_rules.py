@@ -103,7 +103,7 @@ class Field:
     @classmethod
     def fit(cls, documents: list[tuple[np.ndarray, np.ndarray]], rounds: int = 200, rate: float = 0.1, decay: float = 1e-3) -> Field:
         """``documents``: features and labels of each. Exact gradients, Adam steps; same result for the same input."""
-        documents = [d for d in documents if len(d[0])]
+        documents = sorted((d for d in documents if len(d[0])), key=lambda d: -len(d[0]))
         k = len(FEATURES)
         theta = np.zeros(k + 4)
         if not documents:
@@ -116,27 +116,30 @@ class Field:
             x[i, : len(f)], y[i, : len(f)] = f, labels
         real = y >= 0
         both = real[:, 1:]
+        live = real.sum(axis=0).tolist()  # documents are by length: the first so many have a line there
+        doc, line = np.nonzero(real)
+        before, at = np.nonzero(both)
+        rows, last = x[real], real.sum(axis=1) - 1
         counts = np.zeros((2, 2))
         np.add.at(counts, (y[:, :-1][both], y[:, 1:][both]), 1)
-        one = np.where(real, y, 0)
-        observed = np.concatenate([np.einsum("nt,ntk->k", one, x), counts.ravel()])
+        observed = np.concatenate([y[real] @ rows, counts.ravel()])
         m, v, total = np.zeros_like(theta), np.zeros_like(theta), real.sum()
         for step in range(1, rounds + 1):
             follow = theta[k:].reshape(2, 2)
-            emit = np.stack([np.zeros(y.shape), x @ theta[:k]], axis=2)
+            emit = np.zeros((*y.shape, 2))
+            emit[doc, line, 1] = rows @ theta[:k]
             forward, backward = emit.copy(), np.zeros(emit.shape)
             for t in range(1, longest):
-                new = np.logaddexp(forward[:, t - 1, :1] + follow[0], forward[:, t - 1, 1:] + follow[1]) + emit[:, t]
-                forward[:, t] = np.where(real[:, t, None], new, forward[:, t - 1])
-            norm = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
+                old = forward[: live[t], t - 1]
+                forward[: live[t], t] += np.logaddexp(old[:, :1] + follow[0], old[:, 1:] + follow[1])
+            norm = np.logaddexp.reduce(forward[np.arange(len(last)), last], axis=1)
             for t in range(longest - 2, -1, -1):
-                ahead = emit[:, t + 1] + backward[:, t + 1]
-                new = np.logaddexp(ahead[:, :1] + follow[:, 0], ahead[:, 1:] + follow[:, 1])
-                backward[:, t] = np.where(real[:, t + 1, None], new, 0.0)
-            chance = np.where(real, np.exp(forward[:, :, 1] + backward[:, :, 1] - norm[:, None]), 0.0)
-            pair = forward[:, :-1, :, None] + follow + (emit + backward)[:, 1:, None, :] - norm[:, None, None, None]
-            pairs = np.where(both[:, :, None, None], np.exp(np.minimum(pair, 0.0)), 0.0).sum(axis=(0, 1))
-            gradient = (observed - np.concatenate([np.einsum("nt,ntk->k", chance, x), pairs.ravel()])) / total - decay * theta
+                ahead = (emit[:, t + 1] + backward[:, t + 1])[: live[t + 1]]
+                backward[: live[t + 1], t] = np.logaddexp(ahead[:, :1] + follow[:, 0], ahead[:, 1:] + follow[:, 1])
+            chance = np.exp(forward[doc, line, 1] + backward[doc, line, 1] - norm[doc])
+            pair = forward[before, at, :, None] + follow + (emit + backward)[before, at + 1, None, :] - norm[before, None, None]
+            pairs = np.exp(np.minimum(pair, 0.0)).sum(axis=0)
+            gradient = (observed - np.concatenate([chance @ rows, pairs.ravel()])) / total - decay * theta
             m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
             theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         return cls(theta[:k], theta[k:].reshape(2, 2))
