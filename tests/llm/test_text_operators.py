@@ -301,6 +301,22 @@ def test_substring_dedup(spark, rows):
     assert substring_dedup.dedup_substrings(docs(spark, [])).count() == 0
 
 
+def test_copies_of_one_text_spread_over_the_buckets(spark, monkeypatch):
+    text = prose(random.Random(13), 40)
+    rows_, n = [(k, text) for k in range(64)], 16
+    batch = substring_dedup.pa.RecordBatch.from_pydict({"id": list(range(64)), "key": [5] * 64, "starts": [np.arange(10, dtype=np.uint32).tobytes()] * 64})
+    for packed in (substring_dedup.anchor_rows(batch, [text.encode()] * 64, 20, n)[1], substring_dedup.window_rows(batch, [text.encode()] * 64, 20, n)[1]):
+        assert packed.num_rows > n / 2
+        assert max(len(x) for x in packed.column("starts").to_pylist()) < sum(len(x) for x in packed.column("starts").to_pylist()) / 4
+    again, _ = substring_dedup.one_each(batch.take(substring_dedup.pa.array([3, 3, 4])), [text.encode()] * 3)
+    assert again.column("id").to_pylist() == [3, 4]
+    used = []
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(substring_dedup, "places", lambda packed, find, n_buckets, f=substring_dedup.places: used.append(n_buckets) or f(packed, find, n_buckets))
+    got = {r.id: r.kept for r in substring_dedup.dedup_substrings(docs(spark, rows_)).collect()}
+    assert got == substring_dedup.removed_by_definition(rows_) and min(used) >= 64 * len(text) / 100
+
+
 def test_cover_holds_every_distance():
     assert {(a - b) % substring_dedup.PERIOD for a in substring_dedup.COVER for b in substring_dedup.COVER} == set(range(substring_dedup.PERIOD))
 

@@ -13,11 +13,13 @@ out of 13.
 3. The words under returned windows go.
 
 What repeats within one slice of documents is merged before it is sent, so a passage in a third of all documents
-arrives once per slice, not once per document. No pairs of documents are formed.
+arrives once per slice, not once per document. Hits go to buckets by id and text together, so copies of one text spread
+over all of them, and the number of buckets grows with the bytes of text. No pairs of documents are formed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,8 @@ COVER = (0, 1, 3, 9)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text whose repeats are merged before they are sent.
 MERGE_BYTES = 8 << 20
+#: Bytes of text for each bucket of an exchange, on average.
+BUCKET_BYTES = 8 << 20
 #: Stands for a null id, which so comes first.
 NO_ID = -(1 << 63)
 PACKED = "bucket int, docs binary, counts binary, starts binary, hashes binary, others binary"
@@ -111,6 +115,22 @@ def keys_of(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "key")])
 
 
+def homes(docs: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Bucket of each document, by its id and key together: copies under different ids do not share one."""
+    x = (docs[:, 0].astype(np.uint64) * BASE) ^ docs[:, 1].astype(np.uint64)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(32))) % np.uint64(n_buckets)
+
+
+def one_each(batch: pa.RecordBatch, texts: list[bytes]) -> tuple[pa.RecordBatch, list[bytes]]:
+    """A slice with one of the rows that repeat an id and a text; none of them is earlier than the other."""
+    _, first = np.unique(keys_of(batch), axis=0, return_index=True)
+    if len(first) == len(texts):
+        return batch, texts
+    first.sort()
+    return batch.take(pa.array(first)), [texts[k] for k in first.tolist()]
+
+
 def anchor_rows(batch: pa.RecordBatch, texts: list[bytes], window: int, n_buckets: int) -> list[pa.RecordBatch]:
     """Anchors of a slice, packed: one of those equal within the slice with its hash, all that repeat as known hits."""
     words, bounds = word_lists(texts)
@@ -124,7 +144,7 @@ def anchor_rows(batch: pa.RecordBatch, texts: list[bytes], window: int, n_bucket
     first.sort()
     hit = count[number] > 1
     bucket = (hashes[first] >> np.uint64(32)) % np.uint64(n_buckets)
-    return [pack(bucket, n_buckets, docs[first], starts[first], hashes[first].astype(np.uint32)), pack(docs[hit, 1] % n_buckets, n_buckets, docs[hit], starts[hit])]
+    return [pack(bucket, n_buckets, docs[first], starts[first], hashes[first].astype(np.uint32)), pack(homes(docs[hit], n_buckets), n_buckets, docs[hit], starts[hit])]
 
 
 def shared_anchors(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +193,7 @@ def window_rows(batch: pa.RecordBatch, texts: list[bytes], window: int, n_bucket
     later = not_first(one, two, docs, starts)
     head = ~later
     bucket = (one[head] >> np.uint64(32)) % np.uint64(n_buckets)
-    return [pack(bucket, n_buckets, docs[head], starts[head], one[head], two[head]), pack(docs[later, 1] % n_buckets, n_buckets, docs[later], starts[later])]
+    return [pack(bucket, n_buckets, docs[head], starts[head], one[head], two[head]), pack(homes(docs[later], n_buckets), n_buckets, docs[later], starts[later])]
 
 
 def later_windows(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +218,7 @@ def places(packed: DataFrame, find, n_buckets: int) -> DataFrame:
 
     def found(key: tuple, group: pa.Table) -> pa.Table:
         docs, starts = find(group)
-        return pa.Table.from_batches([pack(docs[:, 1] % n_buckets, n_buckets, docs, starts)])
+        return pa.Table.from_batches([pack(homes(docs, n_buckets), n_buckets, docs, starts)])
 
     def merged(key: tuple, group: pa.Table) -> pa.Table:
         return by_document(*unpack(group))
@@ -213,16 +233,17 @@ def later_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"windows need at least {PERIOD} words")
     spark = docs.sparkSession
     prepare(spark)
-    n = bucket_count(spark)
     rows = keyed(docs, id_col, text_col)
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    n = max(bucket_count(spark), math.ceil(size / BUCKET_BYTES))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, limit=MERGE_BYTES):
-            yield from anchor_rows(batch, texts, window, n)
+            yield from anchor_rows(*one_each(batch, texts), window, n)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, limit=MERGE_BYTES):
-            yield from window_rows(batch, texts, window, n)
+            yield from window_rows(*one_each(batch, texts), window, n)
 
     found = places(rows.mapInArrow(anchors, PACKED), shared_anchors, n)
     return places(rows.join(found, ["id", "key"]).mapInArrow(windows, PACKED), later_windows, n)
