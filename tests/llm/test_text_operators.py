@@ -155,6 +155,15 @@ def test_reordered_passages_are_found(spark):
     assert decontaminate.contaminated_pairs(docs(spark, []), bench).count() == 0
 
 
+def test_signs_standing_alone_do_not_hide_a_copy(spark):
+    items = [(1, "what is 12 - 7 * 3 - 2"), (2, "a | b | c"), (3, "- | * &"), (4, "net sales - of & the % year | rose * again")]
+    texts = [(k, f"so % said {t} -- and - more") for k, t in items] + [(5, "what is 12 7 3 2"), (6, "- - *"), (7, "a - x | b c"), (8, "net - sales of the year"), (9, "rose again - - -")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.id, r.item, r.coverage) for r in decontaminate.contaminated_pairs(docs(spark, texts), bench).collect())
+    assert got == [(1, 1, 1.0), (2, 2, 1.0), (4, 4, 1.0), (5, 1, 1.0), (8, 4, 5 / 7)]
+    assert sorted(r.doc_id for r in decontaminate.clean_documents(docs(spark, texts), bench).collect()) == [3, 6, 7, 9]
+
+
 # quality
 
 

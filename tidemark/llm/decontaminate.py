@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are compared in lower case (A-Z) without signs around them. A document and a test item that share a seed, a run
+Words are compared in lower case (A-Z) without signs around them; words made of signs alone count on neither side. A
+document and a test item that share a seed, a run
 of ``least`` words, are tiled: the longest run of words common to both and not yet marked is marked in both, again and
 again, until none of ``least`` words is left. The share of the item's words under tiles is its coverage. As tiles may
 lie in any order, passages that were cut up and put together anew are found, too.
@@ -81,9 +82,11 @@ class Items:
         """(text, item, coverage, tiles, longest tile) of pairs with enough coverage."""
         words, bounds = word_lists([x.lower() for x in texts])
         number, distinct = codes(words)
-        known = np.fromiter((self.number.get(plain(w), -1) if w else -1 for w in distinct), np.int64, len(distinct))
-        values = known[number]
-        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        bare = [plain(w) for w in distinct]
+        known = np.fromiter((self.number.get(w, -1) for w in bare), np.int64, len(bare))
+        there = np.fromiter(map(bool, bare), bool, len(bare))[number]
+        values = known[number][there]
+        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))[there]
         strays = np.concatenate([[0], np.cumsum(values < 0)])
         mixed = spread(np.maximum(values, 0))
         found: dict[tuple[int, int], list[int]] = defaultdict(list)
