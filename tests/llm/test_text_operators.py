@@ -349,6 +349,29 @@ def test_html_extraction(spark):
     assert html_blocks.extract(frame.limit(0), labeller).count() == 0
 
 
+def test_nothing_after_an_open_head_is_lost():
+    texts = lambda page: [(b.path[-1], b.text) for b in html_blocks.blocks_of(page)]
+    body = "<article><p>First words.<p>Second words.</article>"
+    want = [("p", "First words."), ("p", "Second words.")]
+    head = '<html><head><meta charset=utf-8><title>T</title><link rel="x"><style>p{}</style>\n<script>1</script>'
+    for opening in ("<body>", "", "</head><body>", "<body><head><title>U</title>"):
+        assert texts(head + opening + body) == want
+    assert texts(head + "<img src=x> Bare text <p>First words.") == [("html", "Bare text"), ("p", "First words.")]
+    assert texts(head + "Bare text <b>bold</b>") == [("html", "Bare text bold")]
+    assert texts("<html><head><title>T</title></head>") == []
+
+
+def test_only_skipped_elements_are_skipped():
+    texts = lambda page: [b.text for b in html_blocks.blocks_of(page)]
+    for name in ("title-bar", "svg-icon", "template-card", "math-x", "style-guide", "script:x"):
+        assert texts(f"<{name} a='1'><p>Inside.</p></{name}><p>After.</p>") == ["Inside.", "After."]
+    for alone in ("<svg/>", '<svg width="1" />', "<svg class='x/'/>", "<math a=1 b/>", "<SVG\n/>"):
+        assert texts(f"<p>Before {alone} after.</p><p>More.</p>") == ["Before after.", "More."]
+    for whole in ("<svg><text>no</text></svg>", "<svg a=1/><path/></svg>", '<svg a="/>"><g/>no</svg>', "<svg\na><use/>no</svg >", "<math>no</math>"):
+        assert texts(f"<p>Before {whole} after.</p>") == ["Before after."]
+    assert texts("<title>no</title><template>no</template><textarea/>no</textarea><p>Yes.") == ["Yes."]
+
+
 def test_recurrent_gradient():
     rng, net = np.random.default_rng(1), html_blocks.Labeller()
     x, mask = html_blocks.padded([rng.random((k, html_blocks.WIDTH), dtype=np.float32) for k in (4, 2)])

@@ -37,12 +37,16 @@ SAMPLE_PAGES, SAMPLE_CHARS, COPIES = 240, 60_000, 5
 #: Block vectors held at a time when pages are labelled.
 CELLS = 1 << 16
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|$)|<(script|style|template|noscript|textarea|svg|title|iframe|math)\b(?:[^"'>]|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""", re.S | re.I)
+#: A self-closed svg or math, whose last attribute value is no unquoted one ending in /, holds nothing.
+ALONE = r"""<(?:svg|math)(?=[\s/>])(?:[^"'>=]|(?>=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))|"[^"]*"|'[^']*')*?/>"""
+MARKUP = re.compile(r"""<!--.*?(?:-->|$)|""" + ALONE + r"""|<(script|style|template|noscript|textarea|svg|title|iframe|math)(?=[\s/>])(?:[^"'>]|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""", re.S | re.I)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 BREAKS_NOTHING = INLINE | {"br", "wbr", "img"}
+#: Tags that can stand in a head; any other, and text, ends it.
+HEAD = frozenset("html base basefont bgsound link meta title noscript noframes style script template".split())
 #: Open elements that a start tag ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("table ul ol dl select article section div nav aside main body html".split())
@@ -69,6 +73,7 @@ class Parser:
     parts: list[str] = field(default_factory=list)
     links: int = 0
     linked: int = 0
+    in_head: bool = False
 
     def flush(self) -> None:
         if self.parts:
@@ -95,8 +100,15 @@ class Parser:
             if tag in scopes:
                 return
 
+    def leave_head(self) -> None:
+        if self.in_head:
+            self.in_head = False
+            self.close("head")
+
     def add(self, text: str) -> None:
         if text:
+            if self.in_head and not text.isspace():
+                self.leave_head()
             self.parts.append(text)
             if self.links:
                 self.linked += len(text)
@@ -116,9 +128,12 @@ class Parser:
                 self.flush()
             elif name == "br":
                 self.parts.append(" ")
+            if not m[2] and name not in HEAD:
+                self.leave_head()
             if m[2]:
                 self.close(name)
             elif name not in VOID:
+                self.in_head = self.in_head or name == "head"
                 if name not in INLINE:
                     self.end_open({"p"}, SCOPES)
                     if name in ENDS:
