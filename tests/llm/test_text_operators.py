@@ -372,6 +372,17 @@ def test_only_skipped_elements_are_skipped():
     assert texts("<title>no</title><template>no</template><textarea/>no</textarea><p>Yes.") == ["Yes."]
 
 
+def test_all_words_of_a_block_enter_its_vector():
+    rng = random.Random(14)
+    start, ends = prose(rng, 24), (" one two three four five." * 20, " six seven eight nine ten." * 20)
+    found = [html_blocks.Block(("html", "p"), start + e) for e in ends]
+    bag = html_blocks.Encoder()(found)[:, html_blocks.TAG_BITS + html_blocks.CLASS_BITS :][:, : html_blocks.WORD_BITS]
+    for row, b in zip(bag, found, strict=True):
+        count = Counter(zlib.crc32(w.encode()) % html_blocks.WORD_BITS for w in b.text.lower().split())
+        assert row == pytest.approx([count[k] / sum(count.values()) for k in range(html_blocks.WORD_BITS)], abs=1e-6)
+    assert not np.allclose(*bag)
+
+
 def test_recurrent_gradient():
     rng, net = np.random.default_rng(1), html_blocks.Labeller()
     x, mask = html_blocks.padded([rng.random((k, html_blocks.WIDTH), dtype=np.float32) for k in (4, 2)])

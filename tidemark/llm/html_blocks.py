@@ -30,8 +30,6 @@ from tidemark.llm.common import codes, prepare, slices
 TAG_BITS, CLASS_BITS, WORD_BITS, NUMBERS = 128, 192, 24, 6
 WIDTH = TAG_BITS + CLASS_BITS + WORD_BITS + NUMBERS
 HIDDEN = 20
-#: Words of a block that enter its vector, from its start.
-READ_WORDS = 24
 #: Pages that the network is fitted on, the longest page among them in characters, and mixed copies of each page.
 SAMPLE_PAGES, SAMPLE_CHARS, COPIES = 240, 60_000, 5
 #: Block vectors held at a time when pages are labelled.
@@ -182,7 +180,7 @@ class Encoder:
         numbers: dict[tuple[str, ...], int] = {}
         of = np.fromiter((numbers.setdefault(b.path, len(numbers)) for b in blocks), np.int64, len(blocks))
         count = np.array([b.text.count(" ") + 1 for b in blocks])
-        lists = [b.text.lower().encode().split(b" ", READ_WORDS)[:READ_WORDS] for b in blocks]
+        lists = [b.text.lower().encode().split(b" ") for b in blocks]
         read = np.array([len(x) for x in lists])
         number, distinct = codes([w for x in lists for w in x])
         place = np.fromiter((zlib.crc32(w) % WORD_BITS for w in distinct), np.int64, len(distinct))[number]
