@@ -437,6 +437,49 @@ def test_secret_spans(spark, rows):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def secret_training():
+    rng = random.Random(15)
+    token = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz0123456789") for _ in range(n))
+    names = ["there", "reation", "handler", "number", "value", "import", "string", "module", "where", "prod", "config", "database", "credentials", "services", "home", "internal"]
+    path = lambda: rng.choice("/_-=").join(rng.choice(names) for _ in range(5))
+    return token, [(k, f"token: {token(40)} " + " ".join(path() for _ in range(30))) for k in range(300)]
+
+
+def test_secrets_within_runs(spark):
+    token, texts = secret_training()
+    ratios = [4 * x for x in secret_scan.train(docs(spark, texts))]  # few examples: small ratios
+    a, b, c = token(24), token(24), token(40)
+    mixed_ = f"{token(13)}/{token(9)}/{token(14)}"
+    want = {
+        1: (f"see AKIA{'Q7' * 8}/{c} here", [c]),
+        2: (f"{'0a1b' * 8}-{a}", [a]),
+        3: (f"prod/config/database/credentials/{a}", [a]),
+        4: (f"x prod/config/database/credentials/{a}/services/internal/string/module/handler/{b}/home/number y", [a, b]),
+        5: (f"services_internal_database_credentials={mixed_}", [mixed_]),
+        6: ("prod/config/database/credentials/services_internal-module", []),
+        7: (f"password={'x' * 10}/prod/config/database", []),
+        8: (f"é {c}", [c]),
+    }
+    for r in secret_scan.find_secrets(docs(spark, [(k, t) for k, (t, _) in want.items()]), ratios=ratios).collect():
+        assert [(s.start, s.kind, s.end) for s in r.secrets if s.kind < 3] == base_spans(r.text)
+        found = [r.text[s.start : s.end] for s in r.secrets if s.kind == 3]
+        assert len(found) == len(want[r.doc_id][1]), (r.doc_id, found)
+        assert all(w in f and len(f) <= len(w) + 2 for w, f in zip(want[r.doc_id][1], found, strict=True)), (r.doc_id, found)
+    for r in secret_scan.redact(docs(spark, [(k, t) for k, (t, _) in want.items()]), ratios=ratios).collect():
+        assert not any(w in r.text for w in want[r.doc_id][1])
+
+
+def test_identifiers_of_all_documents_are_counted(spark):
+    name = lambda k: "id" + f"{k:08d}".translate(str.maketrans("0123456789", "abcdefghij"))
+    frame = spark.range(45_000).select(F.concat(F.lit("id"), F.translate(F.lpad(F.col("id").cast("string"), 8, "0"), "0123456789", "abcdefghij"), F.when(F.col("id") == 7, F.lit(" token=Zz99Zz99Qq")).otherwise(F.lit(""))).alias("text"))
+    pairs = [Counter(x for run in runs for x in zip(run, run[1:], strict=False)) for runs in (map(name, range(45_000)), ["Zz99Zz99Qq"])]
+    chance = lambda n, x: 0.8 * (n[x] + 16 / len(secret_scan.ALPHABET)) / (sum(v for k, v in n.items() if k[0] == x[0]) + 16) + 0.2 / len(secret_scan.ALPHABET)
+    got, n = secret_scan.train(frame), len(secret_scan.ALPHABET)
+    for x in ("aa", "ij", "Zz", "jd"):
+        at = secret_scan.ALPHABET.index(x[0]) * n + secret_scan.ALPHABET.index(x[1])
+        assert got[at] == pytest.approx(np.log2(chance(pairs[1], tuple(x)) / chance(pairs[0], tuple(x))), abs=1e-9)
+
+
 # near duplicates
 
 

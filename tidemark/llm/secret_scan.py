@@ -2,7 +2,8 @@
 
 Three patterns name secrets outright. Two first-order Markov models over characters find more: one of random strings,
 fitted on what the patterns found, and one of ordinary identifiers, fitted on other runs of the same characters. A run
-whose mean log-likelihood ratio per transition is high enough is a secret as well, whatever stands before it.
+whose mean log-likelihood ratio per transition is high enough is a secret as well, whatever stands before it. Runs are
+cut at what the patterns found; in a run that is not random as a whole, stretches of its parts between separators are.
 
 The tables of the models have one entry per pair of character classes, whatever the size of the data, and enter the
 plan as a literal. Texts are never shuffled, and only those that hold a run worth scoring are taken apart.
@@ -24,19 +25,21 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ASSIGN_CHARS = 8
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
-#: Runs that the models score, and runs that stand for ordinary identifiers in training.
-RUN = "[A-Za-z0-9+/_=-]{16,}"
+#: Runs that the models score, their parts between separators, and runs that stand for ordinary identifiers in training.
+RUN_CHARS = 16
+RUN = f"[A-Za-z0-9+/_=-]{{{RUN_CHARS},}}"
+PART = "[A-Za-z0-9+]+"
 IDENTIFIER = "[A-Za-z0-9+/_=-]{8,}"
 #: Characters of the models; others do not occur in runs.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Bits per transition from which a run counts as random.
 THRESHOLD = 1.0
+#: Bits below its best end, over the threshold, at which a stretch of parts is closed and the next begins.
+DROP = 8.0
 #: Share of the uniform distribution in either model, for transitions without an example.
 UNIFORM = 0.2
 #: Examples of the uniform distribution added after each character, so that few examples say little.
 PRIOR = 16
-#: Documents whose identifiers are counted, about; chosen by the hash of their text.
-TRAINING_DOCUMENTS = 20_000
 
 
 def _text(text_col: str) -> Column:
@@ -82,22 +85,19 @@ def _transitions(runs: DataFrame, weight: str) -> DataFrame:
     return pairs.groupBy("pair").agg(F.sum(weight).alias("n"))
 
 
-def train(docs: DataFrame, text_col: str = "text", sample: int = TRAINING_DOCUMENTS) -> list[float]:
+def train(docs: DataFrame, text_col: str = "text") -> list[float]:
     """Log-likelihood ratios in bits, random over ordinary, by pair of characters of ALPHABET, row by row.
 
-    Labels come from the patterns: the values of all matches of all documents are random strings, the other runs of a
-    sample of about ``sample`` documents ordinary identifiers. The sample is by hash of the text, so repeated texts
-    are in or out together. Each distinct run counts once. With no example of either kind all ratios are 0, and
-    nothing is added to the patterns.
+    Labels come from the patterns: the values of all matches of all documents are random strings, their other runs
+    ordinary identifiers. Each distinct run counts once. With no example of either kind all ratios are 0, and nothing
+    is added to the patterns.
     """
     texts = docs.select(_text(text_col).alias("text"))
     marked = texts.select("text", base_spans(F.col("text")).alias("spans")).where(F.size("spans") > 0)
     value = F.when(F.col("s.kind") == 0, F.regexp_extract("s.match", ASSIGN, 1)).otherwise(F.col("s.match"))
     positive = marked.select(F.explode("spans").alias("s")).select(value.alias("run")).where("length(run) > 1").distinct().withColumn("n", F.lit(1))
-    share = min(1.0, sample / max(1, docs.count()))
-    part = texts.where(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1 << 20)) < F.lit(round(share * (1 << 20))))
     blank = reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.col("text"))
-    negative = part.select(F.explode(F.regexp_extract_all(blank, F.lit(IDENTIFIER), F.lit(0))).alias("run")).distinct().withColumn("n", F.lit(1))
+    negative = texts.select(F.explode(F.regexp_extract_all(blank, F.lit(IDENTIFIER), F.lit(0))).alias("run")).distinct().withColumn("n", F.lit(1))
     rows = _transitions(positive, "n").withColumn("random", F.lit(1)).unionByName(_transitions(negative, "n").withColumn("random", F.lit(0))).collect()
     counts = [{}, {}]
     for r in rows:  # at most one row per pair of characters and kind
@@ -113,36 +113,86 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = TRAINING_DOCUME
     return [math.log2(chance(1, a, b) / chance(0, a, b)) for a in ALPHABET for b in ALPHABET]
 
 
-def score(run: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio per transition of a run."""
+def total(run: Column, ratios: list[float]) -> Column:
+    """Sum of the log-likelihood ratios of a run's transitions."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     n = len(ALPHABET)
     numbers = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     pairs = F.zip_with(F.slice(numbers, 1, F.length(run) - 1), F.slice(numbers, 2, F.length(run) - 1), lambda a, b: F.get(table, a * n + b))
-    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) / (F.length(run) - 1)
+    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
+
+
+def score(run: Column, ratios: list[float]) -> Column:
+    """Mean log-likelihood ratio per transition of a run."""
+    return total(run, ratios) / (F.length(run) - 1)
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with spaces under the spans, so that all else keeps its place."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        begin, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        return F.struct(end.alias("at"), F.concat(state["out"], F.substring(text, state["at"] + 1, begin - state["at"]), F.repeat(F.lit(" "), end - begin)).alias("out"))
+
+    blank = F.aggregate(F.array_sort(spans), start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, blank).otherwise(text)
+
+
+def _stretches(run: Column, ratios: list[float], threshold: float) -> Column:
+    """Spans of consecutive parts of a run whose ratios add up to most over the threshold, from left to right.
+
+    A part goes on with the stretch before it while their sum stays above zero and near its best; a stretch ends at its
+    best part. A part that is random and long enough by itself always lies in one.
+    """
+    over = lambda x: total(x, ratios) - threshold * (F.length(x) - 1)
+    parts = F.transform(_spans(run["match"], PART, 3), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), over(p["match"]).alias("own")))
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    first = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("stop"), F.lit(0).alias("last"), F.lit(-1.0).alias("sum"), F.lit(-1.0).alias("peak"), none.alias("out"))
+
+    def closed(s: Column) -> Column:
+        found = F.array(F.struct(s["begin"].alias("start"), s["stop"].alias("end")))
+        return F.when((s["peak"] >= 0) & (s["stop"] - s["begin"] >= RUN_CHARS), F.concat(s["out"], found)).otherwise(s["out"])
+
+    def step(s: Column, p: Column) -> Column:
+        link = over(F.substring(run["match"], s["last"], p["start"] - s["last"] + 2))
+        carried = F.when(s["sum"] < 0, F.lit(-1.0)).otherwise(s["sum"] + link)
+        joined = F.struct(carried.alias("carried"), (carried + p["own"]).alias("sum"))
+
+        def after(j: Column) -> Column:
+            long = (p["own"] >= 0) & (p["end"] - p["start"] >= RUN_CHARS) & (j["sum"] < s["peak"])
+            fresh = (j["carried"] < 0) | (j["sum"] < s["peak"] - DROP) | long
+            new = F.struct(p["start"].alias("begin"), p["end"].alias("stop"), p["end"].alias("last"), p["own"].alias("sum"), p["own"].alias("peak"), closed(s).alias("out"))
+            best = j["sum"] >= s["peak"]
+            more = F.struct(s["begin"].alias("begin"), F.when(best, p["end"]).otherwise(s["stop"]).alias("stop"), p["end"].alias("last"), j["sum"].alias("sum"), F.greatest(j["sum"], s["peak"]).alias("peak"), s["out"].alias("out"))
+            return F.when(fresh, new).otherwise(more)
+
+        return F.get(F.transform(F.array(joined), after), F.lit(0))
+
+    found = F.aggregate(parts, first, step, closed)
+    return F.transform(found, lambda x: F.struct((run["start"] + x["start"]).alias("start"), (run["start"] + x["end"]).alias("end"), F.lit(3).alias("kind"), F.substring(run["match"], x["start"] + 1, x["end"] - x["start"]).alias("match")))
 
 
 def markov_spans(text: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
-    keep = lambda s: score(s["match"], ratios) >= threshold
-    return F.when(text.rlike(RUN), _spans(text, RUN, 3, keep)).otherwise(_none())
+    random = lambda s: F.when(score(s["match"], ratios) >= threshold, F.array(s)).otherwise(_stretches(s, ratios, threshold))
+    return F.when(text.rlike(RUN), F.flatten(F.transform(_spans(text, RUN, 3), random))).otherwise(_none())
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", ratios: list[float] | None = None, threshold: float = THRESHOLD, into: str = "secrets") -> DataFrame:
     """Add the column ``into``: array of (start, end, kind), by start, then kind in the order of KINDS.
 
-    Offsets are code points, the end exclusive. A run found by the models that touches a pattern's match is left to
-    the pattern. Models are fitted on ``docs`` unless ``ratios`` is given.
+    Offsets are code points, the end exclusive. Runs are cut at the patterns' matches, and what is left of them is
+    scored. Models are fitted on ``docs`` unless ``ratios`` is given.
 
     A null or empty text has no secrets. Repeated rows each get theirs. A column already named ``into`` is
     replaced; all others are kept as they are. No documents give no rows.
     """
     ratios = train(docs, text_col) if ratios is None else ratios
     text = _text(text_col)
-    base, more = spare(docs, "_base"), spare(docs, "_more")
-    work = docs.withColumns({base: base_spans(text), more: markov_spans(text, ratios, threshold)})
-    apart = F.filter(more, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    plain = F.transform(F.concat(base, apart), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return work.withColumn(into, F.transform(F.array_sort(plain), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop(base, more)
+    base, rest, more = spare(docs, "_base"), spare(docs, "_rest"), spare(docs, "_more")
+    work = docs.withColumn(base, base_spans(text)).withColumn(rest, masked(text, F.col(base))).withColumn(more, markov_spans(F.col(rest), ratios, threshold))
+    plain = F.transform(F.concat(base, more), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return work.withColumn(into, F.transform(F.array_sort(plain), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).drop(base, rest, more)
 
 
 def span_text(spans: Column) -> Column:
