@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, html_blocks, packing, quality_mil, quality_rules, secret_scan, simhash_trie, substring_dedup, token_counts
+from tidemark.llm import chat_format, decontaminate, html_blocks, packing, quality_mil, quality_rules, secret_scan, sentence_pieces, simhash_trie, substring_dedup, token_counts, whitening
 from tidemark.llm.common import table
 
 
@@ -84,8 +84,21 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # a long holds the deviation up to some millions of vectors; the decimal holds it beyond
+    return rows.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    pieces = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return pieces.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_chat_format, op3_decontaminate, op4_quality_classifier, op5_quality_rules, op6_packing, op7_substring_dedup, op8_html_extraction, op9_secret_scan, op10_simhash_dedup)
+    for f in (op1_token_counts, op2_chat_format, op3_decontaminate, op4_quality_classifier, op5_quality_rules, op6_packing, op7_substring_dedup, op8_html_extraction, op9_secret_scan, op10_simhash_dedup, op11_embedding_whitening, op13_sentence_pieces)
 }
 ORACLES: dict[str, str] = {}
