@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, html_blocks, packing, quality_mil, quality_rules, secret_scan, sentence_pieces, simhash_trie, substring_dedup, token_counts, whitening
+from tidemark.llm import chat_format, decontaminate, html_blocks, packing, prefix_trie, quality_mil, quality_rules, secret_scan, sentence_pieces, simhash_trie, substring_dedup, token_counts, whitening
 from tidemark.llm.common import table
 
 
@@ -90,6 +90,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation as long)"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = prefix_trie.share_openings(prefix_trie.turn_digests(table(spark, sf_dir, "conversations")))
+    nodes = prefix_trie.trie(prefix_trie.chains(rebuilt))
+    return nodes.withColumnsRenamed({"conv": "conv_id", "parent_conv": "parent_conv_id", "saved": "saved_tokens", "ends": "ends_sha256"})
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = vocabulary("piece_bpe_32k.model")
     pieces = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
@@ -99,6 +105,6 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_chat_format, op3_decontaminate, op4_quality_classifier, op5_quality_rules, op6_packing, op7_substring_dedup, op8_html_extraction, op9_secret_scan, op10_simhash_dedup, op11_embedding_whitening, op13_sentence_pieces)
+    for f in (op1_token_counts, op2_chat_format, op3_decontaminate, op4_quality_classifier, op5_quality_rules, op6_packing, op7_substring_dedup, op8_html_extraction, op9_secret_scan, op10_simhash_dedup, op11_embedding_whitening, op12_prefix_trie, op13_sentence_pieces)
 }
 ORACLES: dict[str, str] = {}
