@@ -78,6 +78,7 @@ def test_encoding_and_decoding_rows(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int")
     both = sentence_pieces.decode(sentence_pieces.encode(docs, MODEL), MODEL).collect()
     assert sorted(((r.id, r.ids, r.decoded) for r in both), key=str) == sorted(((i, library.encode(t or ""), t or "") for i, t, _ in rows), key=str)
+    assert sorted(map(tuple, sentence_pieces.encode(docs, MODEL, decoded=True).collect()), key=str) == sorted(map(tuple, both), key=str)
     assert sentence_pieces.encode(docs.limit(0), MODEL).collect() == []
     loose = spark.createDataFrame([(1, None), (2, [259, None, 300])], "id long, ids array<int>")
     assert [r.decoded for r in sentence_pieces.decode(loose, MODEL).orderBy("id").collect()] == ["", library.decode([259, 300])]

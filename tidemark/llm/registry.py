@@ -97,8 +97,7 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = vocabulary("piece_bpe_32k.model")
-    pieces = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    pieces = sentence_pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), decoded=True)
     numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
     return pieces.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,7 +28,9 @@ from tidemark.llm.common import codes, prepare, slices
 
 SPACE = "▁"
 #: Words and pairs a task remembers; beyond that it starts afresh.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
+#: Bytes of text that are encoded at a time.
+ENCODED_BYTES = 2 << 20
 #: How the library writes the unknown piece.
 UNKNOWN_SURFACE = " ⁇ "
 RUN = re.compile(rb" +[^ ]*")
@@ -64,14 +66,8 @@ class PieceModel:
         self.names = names
         self.byte_of = {i: int(names[i][3:5], 16) for i in range(count) if model.is_byte(i)}
         self.id_of_byte = {b: i for i, b in self.byte_of.items()}
-        self.automaton = ahocorasick.Automaton()
-        for name, i in self.id_of.items():
-            if len(name) > 1:
-                self.automaton.add_word(name, (len(name), i))
-        self.automaton.make_automaton()
         self.characters = Characters(self.id_of)
         self.lengths = [len(x) for x in names]
-        self.shorter = {i: self._longest_prefix(name) for name, i in self.id_of.items()}
         self.pairs: dict[tuple[int | None, int], bool] = {}
         self.words: dict[bytes, list[int]] = {}
         surface = [b"" if model.is_control(i) else names[i].replace(SPACE, " ").encode() for i in range(count)]
@@ -84,8 +80,23 @@ class PieceModel:
         self.is_control = np.array([model.is_control(i) for i in range(count)])
         self.begins_with_space = np.array([not special[i] and names[i].startswith(SPACE) for i in range(count)])
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """All pieces of two or more characters; only encoding needs it."""
+        made = ahocorasick.Automaton()
+        for name, i in self.id_of.items():
+            if len(name) > 1:
+                made.add_word(name, (len(name), i))
+        made.make_automaton()
+        return made
+
+    @cached_property
+    def shorter(self) -> dict[int, int | None]:
+        """Of each piece the next shorter token at the same place."""
+        return {i: self._longest_prefix(name) for name, i in self.id_of.items()}
+
     def _longest_prefix(self, name: str) -> int | None:
-        """The next shorter token at the same place: a piece, or the bare first character."""
+        """A piece, or the bare first character."""
         for k in range(len(name) - 1, 0, -1):
             if name[:k] in self.id_of:
                 return self.id_of[name[:k]]
@@ -261,22 +272,28 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """(id, ids): the ids of every whole text, exactly as the library's without begin and end pieces.
 
-    ``model`` is the path of a model file that every executor can read. A null text counts as empty and has no ids.
-    Repeated rows and null ids are rows of their own; other columns are not looked at, whatever their names. No rows
-    give no rows. One pass, no shuffle: a task holds a few megabytes of text at a time, or one longer text.
+    With ``decoded``, a third column has the text that the ids decode to. ``model`` is the path of a model file that
+    every executor can read. A null text counts as empty and has no ids. Repeated rows and null ids are rows of their
+    own; other columns are not looked at, whatever their names. No rows give no rows. One pass, no shuffle: a task
+    holds a few megabytes of text at a time, or one longer text.
     """
     prepare(docs.sparkSession)
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model)
-        for part, texts in slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column("id"), pieces.encode(texts).cast(pa.list_(pa.int32()))], ["id", "ids"])
-
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
+        for part, texts in slices(batches, limit=ENCODED_BYTES):
+            ids = pieces.encode(texts).cast(pa.list_(pa.int32()))
+            columns = {"id": part.column("id"), "ids": ids}
+            if decoded:
+                columns["decoded"] = pa.array(pieces.decode(ids.values.to_numpy(), ids.offsets.to_numpy().astype(np.int64)), pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = f"id {kind}, ids array<int>" + ", decoded string" * decoded
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
