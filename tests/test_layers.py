@@ -1,18 +1,25 @@
 """Ingestion, deduplication, rules and publishing on small files."""
 
+import datetime as dt
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import layers as g
 from tidemark.operators import quality as q
-from tidemark.plans.medallion import DATASETS, Dataset, ingest_and_refresh, publish, run_order
+from tidemark.plans.medallion import DATASETS, Dataset, ingest_and_merge, ingest_and_refresh, publish, run_order
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming import bronze as b
 
 
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
 def event(i, kind="push", login="ann", repo="o/r", at="2024-01-01T10:20:30Z", **extra):
     return {"id": str(i), "type": kind, "actor": {"login": login}, "repo": {"name": repo}, "created_at": at, **extra}
 
@@ -54,13 +61,98 @@ def test_runs_are_incremental_and_repeatable(spark, landing, tmp_path):
     assert tables["bronze_events"].count() == 6 and tables["silver_repos"].count() == 1
 
 
-def test_new_fields_appear(spark, tmp_path):
+def field(path, kind="string"):
+    return F.try_variant_get("raw_payload", f"$.{path}", kind)
+
+
+def test_new_fields_appear_whatever_the_time_of_the_file(spark, tmp_path):
     place, table = tmp_path / "in", str(tmp_path / "bronze")
     put(place, "1.json", [event(1)])
     b.ingest(spark, str(place), table)
     put(place, "2.json", [event(2, public=True, payload={"size": 3})])
-    rows = {r.raw_payload.id: r.raw_payload for r in b.ingest(spark, str(place), table).collect()}
-    assert rows["1"].public is None and rows["2"].public is True and rows["2"].payload.size == 3
+    os.utime(place / "2.json", (1_000_000_000, 1_000_000_000))  # long before the first file
+    got = b.ingest(spark, str(place), table).select(field("id").alias("id"), field("public", "boolean"), field("payload.size", "int"))
+    assert rows_of(got) == [("1", None, None), ("2", True, 3)]
+    fields = dict(rows_of(b.known_fields(spark, table)))
+    assert fields["public"] == "boolean" and fields["payload.size"] == "bigint" and fields["actor.login"] == "string"
+
+
+@pytest.mark.parametrize("values", [[5, 5.5], [5, "five"], [None, {"a": 1}], [{"a": 1}, 3], [[1], {"a": 1}, "x", None, 2.5]])
+def test_a_field_may_change_its_type(spark, tmp_path, values):
+    place, table = tmp_path / "in", str(tmp_path / "bronze")
+    for k, v in enumerate(values):
+        put(place, f"{k}.json", [{"id": k, "v": v}, {"id": k + 100, "v": v}])
+        got = b.ingest(spark, str(place), table)
+    shown = {r[0]: r[1] for r in got.select(field("id", "int"), field("v")).collect()}
+    texts = [None if v is None else v if isinstance(v, str) else json.dumps(v, separators=(",", ":")) for v in values]
+    assert shown == {i: texts[i % 100] for k in range(len(values)) for i in (k, k + 100)}
+    assert got.filter("malformed is not null").count() == 0
+
+
+def test_lines_lists_blanks_and_broken_text(spark, tmp_path):
+    place, table = tmp_path / "in", str(tmp_path / "bronze")
+    place.mkdir()
+    (place / "a.json").write_text('{"id":1}\n\n[{"id":2},{"id":3}]\n{"id":\n7\n')
+    got = b.ingest(spark, str(place), table, multiline=False)
+    assert sorted((r[0] or 0, r[1] or "") for r in got.select(field("id", "int"), "malformed").collect()) == [(0, ""), (0, '{"id":'), (1, ""), (2, ""), (3, "")]
+    assert rows_of(b.known_fields(spark, table)) == [("id", "bigint")]
+
+
+def test_odd_field_names(spark, tmp_path):
+    place, table = tmp_path / "in", str(tmp_path / "bronze")
+    put(place, "1.json", [{"a`b": 1, "OBJECT<": {"x y": [{"z": True}]}, "e": {}}])
+    b.ingest(spark, str(place), table)
+    assert dict(rows_of(b.known_fields(spark, table))) == {"a`b": "bigint", "OBJECT<.x y[*].z": "boolean", "e": "struct<>"}
+
+
+def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
+    """A run that ended before its batch was committed writes the batch again."""
+    place, table = tmp_path / "in", tmp_path / "bronze"
+    put(place, "1.json", [event(1), event(2)])
+    b.ingest(spark, str(place), str(table))
+    (table / "checkpoint" / "commits" / "0").unlink()
+    (table / "checkpoint" / "commits" / ".0.crc").unlink()
+    assert b.ingest(spark, str(place), str(table)).count() == 2
+
+
+def test_silver_merges_only_new_batches(spark, landing, tmp_path):
+    folder = str(tmp_path / "merged")
+    ingest_and_merge(spark, landing, folder)
+    put(tmp_path / "events", "e2.json", [event(1, login="eve", at="2024-01-02T00:00:00Z"), event(2, at="2023-01-01T00:00:00Z"), event(4), event(3, kind="late")])
+    put(tmp_path / "repos", "new.json", [{"full_name": "o/r", "stargazers_count": 6, "updated_at": "2024-01-02T00:00:00Z"}, {"full_name": "o/r", "stargazers_count": 7, "updated_at": "2024-01-03T00:00:00Z"}])
+    merged, metrics = ingest_and_merge(spark, landing, folder)
+    rebuilt, other = ingest_and_refresh(spark, landing, str(tmp_path / "rebuilt"))
+    for name in DATASETS:
+        assert rows_of(merged[name].drop("ingestion_date")) == rows_of(rebuilt[name].drop("ingestion_date")), name
+    assert {r.event_id: r.actor_login for r in merged["silver_events"].collect()} == {"1": "eve", "2": "bob", "3": "ann", "4": "ann"}
+    assert merged["silver_repos"].first().stars == 7
+    assert {(r.rule, r.failed) for r in metrics["silver_events"].collect()} == {(r.rule, r.failed) for r in other["silver_events"].collect()}
+    # nothing new: no further state
+    ingest_and_merge(spark, landing, folder)
+    assert SnapshotTable(spark, f"{folder}/silver_events_state").current_version() == 1
+
+
+def test_new_batches_are_pruned_by_folder(spark, landing, tmp_path):
+    folder = str(tmp_path / "b")
+    b.ingest(spark, landing["bronze_events"], folder)
+    put(tmp_path / "events", "e2.json", [event(9)])
+    b.ingest(spark, landing["bronze_events"], folder)
+    fresh = b.read_bronze(spark, folder, after_batch=0)
+    assert [r[0] for r in fresh.select(field("id")).collect()] == ["9"]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+
+
+def test_merging_null_keys_ties_and_no_rows(spark):
+    schema = "k string, v int, _ingested_at timestamp, source_file string, source_modified timestamp, batch_id long"
+    latest = g.Latest(lambda df: df, "k", lambda: [F.col("_ingested_at").desc()])
+    now, old = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1)
+    first = spark.createDataFrame([("a", 1, now, "f", None, 0), ("a", 2, now, "f", None, 0), (None, 3, old, "f", None, 0), ("b", 4, old, "f", None, 0)], schema)
+    second = spark.createDataFrame([("a", 9, old, "f", None, 1), (None, 5, now, "f", None, 1), ("c", None, None, "f", None, 1)], schema)
+    merged = latest.merge(latest.state(first), second)
+    assert rows_of(merged) == rows_of(latest.state(first.unionByName(second)))
+    assert sorted(((r.k, r.v) for r in merged.collect()), key=str) == [("a", 2), ("b", 4), ("c", None), (None, 5)]
+    assert rows_of(latest.merge(latest.state(first), second.limit(0))) == rows_of(latest.state(first))
 
 
 def test_empty_landing(spark, tmp_path):
@@ -74,7 +166,8 @@ def test_schema_merge():
     new = T.StructType.fromDDL("s struct<y:bigint>, a double, b boolean")
     merged = b.merge_schemas(old, new)
     assert merged.simpleString() == "struct<a:double,s:struct<x:string,y:bigint>,b:boolean>"
-    assert b.merge_types(T.LongType(), T.StructType()) == T.StringType()
+    assert b.merge_types(T.LongType(), T.StructType()) == T.VariantType()
+    assert b.merge_types(T.DecimalType(2, 1), T.LongType()) == T.DoubleType()
 
 
 def test_nested_landing_is_refused(spark, landing, tmp_path):
@@ -105,12 +198,10 @@ def test_order_of_datasets():
 
 
 def test_latest_snapshot_and_bad_numbers(spark):
-    rows = spark.createDataFrame(
-        [(("o/r", "7", "x"), "f1", 1), (("o/r", "bad", "x"), "f2", 2)],
-        "raw_payload struct<full_name: string, stargazers_count: string, language: string>, source_file string, n int",
-    ).selectExpr(
-        "struct(raw_payload.*, '1' as forks_count, '2' as open_issues_count, 'when' as created_at) as raw_payload",
-        "source_file", "timestamp_seconds(n) as _ingested_at",
+    payload = '{"full_name":"o/r","stargazers_count":"%s","language":"x","forks_count":"1","created_at":"when"}'
+    rows = spark.createDataFrame([(payload % "7", "f1", 1), (payload % "bad", "f2", 2)], "text string, source_file string, n int").selectExpr(
+        "parse_json(text) as raw_payload", "source_file", "timestamp_seconds(n) as _ingested_at",
+        "cast(null as timestamp) as source_modified", "0L as batch_id",
     )
     row = g.silver_repos(rows).first()
     assert (row.repo_name, row.stars, row.forks, row.repo_created_at) == ("o/r", None, 1, None)

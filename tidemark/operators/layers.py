@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,75 +27,134 @@ USER_RULES: tuple[Rule, ...] = (expect_or_fail("actor_login not null", "actor_lo
 # ---- silver -------------------------------------------------------------------------------------
 
 
-LINEAGE = ("_ingested_at", "source_file")
+LINEAGE = ("_ingested_at", "source_file", "source_modified", "batch_id")
+
+
+def payload_text(path: str) -> Column:
+    """A field of the payload as text, null where it is absent; objects and lists as JSON."""
+    return F.try_variant_get("raw_payload", path, "string")
 
 
 def newest_first() -> list[Column]:
-    """Order in which one snapshot follows another: ingestion, then the batch number in the path, then the path.
+    """Order in which one snapshot follows another: ingestion, then the batch number in the path, then the time the file
+    was written, then the path.
 
     All files of one run share their ingestion time, and text order would
     put batch 10 before batch 9.
     """
     batch = F.regexp_extract("source_file", r"batch_id=(\d{1,18})(?:/|$)", 1)
-    return [F.col("_ingested_at").desc(), F.when(batch != "", batch).cast("long").desc_nulls_last(), F.col("source_file").desc()]
-
-
-def silver_events(bronze: DataFrame) -> DataFrame:
-    """Flat events, one row per id: the latest by event time, then by ingestion."""
-    created = c.iso_timestamp(F.col("raw_payload.created_at"))
-    flat = bronze.select(
-        F.col("raw_payload.id").cast("string").alias("event_id"),
-        F.col("raw_payload.type").alias("event_type"),
-        F.col("raw_payload.actor.login").alias("actor_login"),
-        F.col("raw_payload.repo.name").alias("repo_name"),
+    number = F.when(batch != "", batch).cast("long")
+    return [
+        F.col("_ingested_at").desc(),
+        number.desc_nulls_last(),
+        F.col("source_modified").desc_nulls_last(),
+        F.col("source_file").desc(),
+    ]
+
+
+def flat_events(bronze: DataFrame) -> DataFrame:
+    """Events as delivered, with their origin."""
+    created = c.iso_timestamp(payload_text("$.created_at"))
+    return bronze.select(
+        payload_text("$.id").alias("event_id"),
+        payload_text("$.type").alias("event_type"),
+        payload_text("$.actor.login").alias("actor_login"),
+        payload_text("$.repo.name").alias("repo_name"),
         created.alias("created_at"),
         F.to_date(created).alias("created_at_date"),
         *LINEAGE,
     )
-    return latest_per_key(flat, ["event_id"], [F.col("created_at").desc_nulls_last(), *newest_first()]).drop(*LINEAGE)
-
-
-def _silver_entity(bronze: DataFrame, key: str, fields: Mapping[str, Column]) -> DataFrame:
-    flat = bronze.select(
-        *[value.alias(name) for name, value in fields.items()],
-        F.to_date("_ingested_at").alias("ingestion_date"),
-        *LINEAGE,
-    )
-    return latest_per_key(flat, [key], newest_first()).drop(*LINEAGE)
 
 
-def silver_repos(bronze: DataFrame) -> DataFrame:
-    """Latest snapshot of each repository."""
-    return _silver_entity(
+def flat_repos(bronze: DataFrame) -> DataFrame:
+    """Repository snapshots as delivered, with their origin and the time the source says they were changed."""
+    return _flat_entity(
         bronze,
-        "repo_name",
         {
-            "repo_name": F.col("raw_payload.full_name"),
-            "stars": c.to_int("raw_payload.stargazers_count"),
-            "forks": c.to_int("raw_payload.forks_count"),
-            "primary_language": F.col("raw_payload.language"),
-            "open_issues": c.to_int("raw_payload.open_issues_count"),
-            "repo_created_at": c.iso_timestamp(F.col("raw_payload.created_at")),
+            "repo_name": payload_text("$.full_name"),
+            "stars": c.to_int(payload_text("$.stargazers_count")),
+            "forks": c.to_int(payload_text("$.forks_count")),
+            "primary_language": payload_text("$.language"),
+            "open_issues": c.to_int(payload_text("$.open_issues_count")),
+            "repo_created_at": c.iso_timestamp(payload_text("$.created_at")),
         },
     )
 
 
-def silver_users(bronze: DataFrame) -> DataFrame:
-    """Latest snapshot of each user."""
-    return _silver_entity(
+def flat_users(bronze: DataFrame) -> DataFrame:
+    """User snapshots as delivered, with their origin and the time the source says they were changed."""
+    return _flat_entity(
         bronze,
-        "actor_login",
         {
-            "actor_login": F.col("raw_payload.login"),
-            "company": F.col("raw_payload.company"),
-            "location": F.col("raw_payload.location"),
-            "followers": c.to_int("raw_payload.followers"),
-            "public_repos": c.to_int("raw_payload.public_repos"),
-            "user_created_at": c.iso_timestamp(F.col("raw_payload.created_at")),
+            "actor_login": payload_text("$.login"),
+            "company": payload_text("$.company"),
+            "location": payload_text("$.location"),
+            "followers": c.to_int(payload_text("$.followers")),
+            "public_repos": c.to_int(payload_text("$.public_repos")),
+            "user_created_at": c.iso_timestamp(payload_text("$.created_at")),
         },
     )
 
 
+def _flat_entity(bronze: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
+    return bronze.select(
+        *[value.alias(name) for name, value in fields.items()],
+        F.to_date("_ingested_at").alias("ingestion_date"),
+        c.iso_timestamp(payload_text("$.updated_at")).alias(CHANGED_AT),
+        *LINEAGE,
+    )
+
+
+#: Decides between two snapshots of one entity in one file.
+CHANGED_AT = "_changed_at"
+
+
+class Latest:
+    """The latest row per key of flat rows, kept as a state that new rows are merged into.
+
+    The state is what the latest row per key of all rows would be, with its origin; ``published`` leaves the origin out.
+    Rows that tie in everything the order knows are told apart by their values, so the choice is the same in each run.
+    """
+
+    def __init__(self, flat: Callable[[DataFrame], DataFrame], key: str, order: Callable[[], list[Column]]):
+        self.flat, self.key, self.order = flat, key, order
+
+    def state(self, flat: DataFrame) -> DataFrame:
+        ties = [F.col(name).desc_nulls_last() for name in flat.columns if name not in (*LINEAGE, self.key)]
+        return latest_per_key(flat, [self.key], [*self.order(), *ties])
+
+    def merge(self, state: DataFrame, fresh: DataFrame) -> DataFrame:
+        """State after the rows of ``fresh``: only keys that occur there are ranked again, all others pass.
+
+        The latest of the latest and the new rows is the latest of all rows, so the result is that of a rebuild.
+        """
+        touched = fresh.select(F.col(self.key).alias("_touched")).distinct()
+        same = F.col(self.key).eqNullSafe(F.col("_touched"))
+        again = self.state(state.join(touched, same, "left_semi").unionByName(fresh))
+        return state.join(touched, same, "left_anti").unionByName(again)
+
+    def published(self, state: DataFrame) -> DataFrame:
+        return state.drop(*LINEAGE, CHANGED_AT)
+
+    def __call__(self, bronze: DataFrame) -> DataFrame:
+        return self.published(self.state(self.flat(bronze)))
+
+
+def _entity_order() -> list[Column]:
+    return [*newest_first(), F.col(CHANGED_AT).desc_nulls_last()]
+
+
+def _event_order() -> list[Column]:
+    return [F.col("created_at").desc_nulls_last(), *newest_first()]
+
+
+#: One row per event id: the latest by event time, then by ingestion.
+silver_events = Latest(flat_events, "event_id", _event_order)
+#: Latest snapshot of each repository and user.
+silver_repos = Latest(flat_repos, "repo_name", _entity_order)
+silver_users = Latest(flat_users, "actor_login", _entity_order)
+
+
 # ---- gold ---------------------------------------------------------------------------------------
 
 

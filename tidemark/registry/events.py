@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.adapters import Tables
 from tidemark.operators import layers as g
 from tidemark.operators import quality as q
-from tidemark.plans.medallion import ingest_and_refresh, publish, run_order
+from tidemark.plans.medallion import DATASETS, ingest_and_refresh, merge_new_batches, publish, run_order
 from tidemark.registry.base import register, rounded
 from tidemark.registry.storage import iso_text
 from tidemark.session import fresh_path
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
-from tidemark.streaming.bronze import ingest
+from tidemark.streaming.bronze import ingest, known_fields, read_bronze
 
 # ---- landing files made from the driver tables --------------------------------------------------
 
@@ -53,30 +53,38 @@ def user_payloads(t: Tables) -> DataFrame:
     )
 
 
-def land(t: Tables, folder: str) -> dict[str, str]:
-    """Write events, repositories and users as JSON; errors are delivered twice."""
-    places = {f"bronze_{kind}": f"{folder}/{kind}" for kind in ("events", "repos", "users")}
-    events = event_payloads(t)
-    files.append_batch(events, places["bronze_events"], "1")
-    files.append_batch(events.filter(F.col("type") == "error"), places["bronze_events"], "2")
-    files.append_batch(repo_payloads(t), places["bronze_repos"], "1")
-    files.append_batch(user_payloads(t), places["bronze_users"], "1")
-    return places
+def snapshots_of(t: Tables, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Profiles as they were, one more star or follower each, and as they are."""
+    rows, count = (repo_payloads(t), "stargazers_count") if kind == "repos" else (user_payloads(t), "followers")
+    return rows.withColumn(count, F.col(count) + 1), rows
+
 
+def land_kind(t: Tables, kind: str, place: str) -> str:
+    """Write one kind of payload as JSON: errors are delivered twice, profiles in batch 9 and again, changed, in batch 10."""
+    if kind == "events":
+        events = event_payloads(t)
+        files.append_batch(events, place, "1")
+        files.append_batch(events.filter(F.col("type") == "error"), place, "2")
+    else:
+        before, now = snapshots_of(t, kind)
+        files.append_batch(before, place, "9")
+        files.append_batch(now, place, "10")
+    return place
 
-_BRONZE: dict[tuple[str, str, str], DataFrame] = {}
+
+def land(t: Tables, folder: str) -> dict[str, str]:
+    """Write events, repositories and users as JSON."""
+    return {f"bronze_{kind}": land_kind(t, kind, f"{folder}/{kind}") for kind in ("events", "repos", "users")}
 
 
 def bronze(t: Tables, kind: str) -> DataFrame:
-    """Bronze table of one kind, ingested once per session and data folder."""
-    slot = (t.spark.sparkContext.applicationId, t.sf_dir, kind)
-    if slot not in _BRONZE:
-        folder = fresh_path(t.spark, "feed")
-        for name, place in land(t, f"{folder}/landing").items():
-            _BRONZE[(slot[0], slot[1], name.removeprefix("bronze_"))] = ingest(
-                t.spark, place, f"{folder}/{name}", multiline=False
-            )
-    return _BRONZE[slot]
+    """Bronze table of one kind, landed and ingested anew."""
+    folder = fresh_path(t.spark, "feed")
+    return ingest(t.spark, land_kind(t, kind, f"{folder}/landing"), f"{folder}/bronze", multiline=False)
+
+
+def payload(path: str, kind: str = "string"):
+    return F.try_variant_get("raw_payload", f"$.{path}", kind)
 
 
 DELIVERED_SQL = "(select * from feed_events union all select * from feed_events where event_type = 'error')"
@@ -84,23 +92,62 @@ DELIVERED_SQL = "(select * from feed_events union all select * from feed_events
 register(
     "j01_bronze_events",
     lambda t: bronze(t, "events").select(
-        F.col("raw_payload.id").alias("event_id"),
-        F.col("raw_payload.type").alias("event_type"),
-        F.col("raw_payload.actor.login").alias("actor_login"),
-        F.col("raw_payload.repo.name").alias("repo_name"),
+        payload("id").alias("event_id"),
+        payload("type").alias("event_type"),
+        payload("actor.login").alias("actor_login"),
+        payload("repo.name").alias("repo_name"),
     ),
     f"select cast(event_id as varchar) as event_id, event_type, actor_login, repo_name from {DELIVERED_SQL} e",
 )
 register(
     "j02_bronze_repos",
-    lambda t: bronze(t, "repos").select("raw_payload.full_name", "raw_payload.stargazers_count", "raw_payload.language"),
-    """select repo_name as full_name, cast(stars as bigint) as stargazers_count, primary_language as language
-       from feed_repos""",
+    lambda t: bronze(t, "repos").select(
+        payload("full_name").alias("full_name"),
+        payload("stargazers_count", "long").alias("stargazers_count"),
+        payload("language").alias("language"),
+    ),
+    """select repo_name as full_name, cast(stars + more as bigint) as stargazers_count, primary_language as language
+       from feed_repos, (values (0), (1)) d(more)""",
 )
 register(
     "j03_bronze_users",
-    lambda t: bronze(t, "users").select("raw_payload.login", "raw_payload.company", "raw_payload.followers"),
-    "select actor_login as login, company, cast(followers as bigint) as followers from feed_users",
+    lambda t: bronze(t, "users").select(
+        payload("login").alias("login"), payload("company").alias("company"), payload("followers", "long").alias("followers")
+    ),
+    """select actor_login as login, company, cast(followers + more as bigint) as followers
+       from feed_users, (values (0), (1)) d(more)""",
+)
+
+
+def _mixed(t):
+    """One field as a number, a fraction, a text, an object and a null in five deliveries, and lists of payloads."""
+    folder = fresh_path(t.spark, "mixed")
+    landing, table = f"{folder}/landing", f"{folder}/bronze"
+    ids = t.feed_events.select("event_id")
+    number = F.col("event_id").cast("string")
+    values = [number, F.concat(number, F.lit(".5")), F.concat(F.lit('"n'), number, F.lit('"')), F.concat(F.lit('{"n":'), number, F.lit("}")), F.lit("null")]
+    for k, value in enumerate(values):
+        line = F.concat(F.lit('[{"id":'), number, F.lit(f',"delivery":{k},"size":'), value, F.lit("}]"))
+        ids.select(line.alias("value")).write.text(f"{landing}/batch_id={k}")
+        ingest(t.spark, landing, table, multiline=False)
+    return table
+
+
+register(
+    "j01_payload_of_any_type",
+    lambda t: read_bronze(t.spark, _mixed(t)).select(
+        payload("id", "long").alias("event_id"),
+        payload("delivery", "int").alias("delivery"),
+        payload("size").alias("size"),
+        payload("size", "double").alias("as_number"),
+        payload("size.n", "long").alias("inner_n"),
+    ),
+    """select cast(event_id as bigint) as event_id, d.delivery,
+              case d.delivery when 0 then cast(event_id as varchar) when 1 then concat(event_id, '.5') when 2 then concat('n', event_id)
+                              when 3 then concat('{"n":', event_id, '}') end as size,
+              cast(case d.delivery when 0 then event_id when 1 then event_id + 0.5 end as double) as as_number,
+              cast(case d.delivery when 3 then event_id end as bigint) as inner_n
+       from feed_events, (values (0), (1), (2), (3), (4)) d(delivery)""",
 )
 
 
@@ -136,9 +183,9 @@ def _evolved(t):
     files.append_batch(events.withColumn("public", F.lit(True)), landing, "2")
     rows = ingest(t.spark, landing, table, multiline=False)
     return rows.select(
-        F.col("raw_payload.id").alias("event_id"),
-        F.col("raw_payload.repo.name").alias("repo_name"),
-        F.col("raw_payload.public").alias("is_public"),
+        payload("id").alias("event_id"),
+        payload("repo.name").alias("repo_name"),
+        payload("public", "boolean").alias("is_public"),
     )
 
 
@@ -148,10 +195,24 @@ register(
     """select cast(event_id as varchar) as event_id, null as repo_name, cast(null as boolean) as is_public from feed_events
        union all select cast(event_id as varchar), repo_name, true from feed_events""",
 )
+
+
+def _fields_and_payloads(t):
+    table = _mixed(t)
+    payloads = read_bronze(t.spark, table).agg(F.count(F.lit(1))).scalar()
+    return known_fields(t.spark, table).withColumn("payloads", payloads)
+
+
+register(
+    "j05_known_fields",
+    _fields_and_payloads,
+    """select path, type, (select 5 * count(*) from feed_events) as payloads
+       from (values ('delivery', 'bigint'), ('id', 'bigint'), ('size', 'variant')) f(path, type)""",
+)
 register(
     "j06_lineage_columns",
     lambda t: bronze(t, "events").select(
-        F.col("raw_payload.id").alias("event_id"),
+        payload("id").alias("event_id"),
         F.regexp_extract("source_file", "batch_id=([0-9]+)", 1).alias("batch"),
         (F.col("ingestion_date") == F.to_date("_ingested_at")).alias("date_fits"),
     ),
@@ -187,6 +248,44 @@ register(
               timestamp '2019-06-01 00:00:00' as user_created_at from feed_users""",
 )
 
+
+
+def _merged(t, kind, dataset):
+    """The silver table after two runs, the second of which reads only the second batch."""
+    folder = fresh_path(t.spark, "merged")
+    landing, bronze_tables = f"{folder}/landing/{kind}", {f"bronze_{kind}": f"{folder}/bronze_{kind}"}
+    if kind == "events":
+        # first with another type, then once more as it is, in two overlapping parts
+        events = event_payloads(t)
+        deliveries = [events.withColumn("type", F.lit("draft")).filter(F.length("id") % 2 == 0), events]
+    else:
+        deliveries = snapshots_of(t, kind)
+    for batch, rows in enumerate(deliveries):
+        files.append_batch(rows, landing, str(batch))
+        ingest(t.spark, landing, bronze_tables[f"bronze_{kind}"], multiline=False)
+        tables, _ = merge_new_batches(t.spark, folder, bronze_tables, {dataset: DATASETS[dataset]})
+    return tables[dataset]
+
+
+register(
+    "j07_silver_events_merged",
+    lambda t: _plain(_merged(t, "events", "silver_events"), "created_at"),
+    """select cast(event_id as varchar) as event_id, event_type, actor_login, repo_name, created_at, created_at_date
+       from feed_events where event_type is not null""",
+)
+register(
+    "j08_silver_repos_merged",
+    lambda t: _plain(_merged(t, "repos", "silver_repos").drop("ingestion_date"), "repo_created_at"),
+    """select repo_name, stars, forks, primary_language, open_issues,
+              timestamp '2020-01-01 00:00:00' as repo_created_at from feed_repos where stars is not null""",
+)
+register(
+    "j09_silver_users_merged",
+    lambda t: _plain(_merged(t, "users", "silver_users").drop("ingestion_date"), "user_created_at"),
+    """select actor_login, company, location, followers, public_repos,
+              timestamp '2019-06-01 00:00:00' as user_created_at from feed_users""",
+)
+
 # ---- gold ---------------------------------------------------------------------------------------
 
 REPO_LIST = "r.stars, r.forks, r.primary_language, r.open_issues"
@@ -411,11 +510,17 @@ register(
     METRICS_SQL,
 )
 register("k03_metrics_while_writing", lambda t: _published(t)[1], METRICS_SQL)
+
+
+def _kept(t):
+    rows = bronze(t, "events")
+    kept = g.silver_events(rows).agg(F.count(F.lit(1))).scalar()
+    return rows.agg(F.count(F.lit(1)).alias("delivered")).withColumn("kept", kept)
+
+
 register(
     "k06_idempotency_count",
-    lambda t: bronze(t, "events").agg(F.count(F.lit(1)).alias("delivered")).withColumn(
-        "kept", g.silver_events(bronze(t, "events")).agg(F.count(F.lit(1))).scalar()
-    ),
+    _kept,
     f"""select (select count(*) from {DELIVERED_SQL} e) as delivered, (select count(*) from feed_events) as kept""",
 )
 register(

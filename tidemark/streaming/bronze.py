@@ -1,26 +1,34 @@
-"""Incremental ingestion of JSON files with Structured Streaming.
+"""Incremental ingestion of JSON files with Structured Streaming, whatever the shape of their payload.
 
-A run infers the fields of the files that are new, widens the stored
-schema, and then lets the file source process every file it has not seen.
-The checkpoint remembers processed files, so a second run over the same
-landing folder adds nothing.
+The file source remembers in its checkpoint which files it has read, so a second run over the same landing folder adds
+nothing, and a file counts as new by its name, whatever its modification time. A payload is kept whole as a VARIANT:
+a field that is a number in one file, a text in the next and an object in a third stays readable in all of them. Text
+that is no JSON is kept beside it. Each micro-batch is written to a folder of its own and replaced as a whole if it is
+repeated, so every file is in the table once, and a reader can take the batches since its last look by their number.
+
+The fields of a batch are aggregated by the tasks that write it and merged into those known before; nothing is
+inferred beforehand, and no file is read twice.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_FILES_PER_BATCH = 100
-_WIDENING = [T.IntegerType(), T.LongType(), T.DoubleType()]
+SCHEMA = "raw_payload variant, malformed string, source_file string, source_modified timestamp, _ingested_at timestamp, batch_id long, ingestion_date date"
+FIELDS_SCHEMA = "batch_id long, schema_json string"
+_NUMBERS = [T.IntegerType(), T.LongType(), T.DoubleType()]
+_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
 
 
 def merge_types(old: T.DataType, new: T.DataType) -> T.DataType:
-    """The type that holds both: structs by field, numbers widened, anything else as text."""
+    """The type that holds both: structs by field, arrays by element, numbers widened, anything else a variant."""
     if old == new or isinstance(new, T.NullType):
         return old
     if isinstance(old, T.NullType):
@@ -29,9 +37,11 @@ def merge_types(old: T.DataType, new: T.DataType) -> T.DataType:
         return merge_schemas(old, new)
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
         return T.ArrayType(merge_types(old.elementType, new.elementType))
-    if old in _WIDENING and new in _WIDENING:
-        return _WIDENING[max(_WIDENING.index(old), _WIDENING.index(new))]
-    return T.StringType()
+    if old in _NUMBERS and new in _NUMBERS:
+        return _NUMBERS[max(_NUMBERS.index(old), _NUMBERS.index(new))]
+    if isinstance(old, T.NumericType) and isinstance(new, T.NumericType):
+        return T.DoubleType()  # decimals of any size with other numbers
+    return T.VariantType()
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -45,52 +55,52 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
-def stored_schema(spark: SparkSession, path: str) -> tuple[T.StructType | None, str | None]:
-    """Schema kept by earlier runs and the time up to which files were looked at."""
-    try:
-        row = spark.read.schema("schema_json string, seen_until string, written_at timestamp").json(path).orderBy(
-            F.desc("written_at")
-        ).first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        row = None
-    return (T.StructType.fromJson(json.loads(row.schema_json)), row.seen_until) if row else (None, None)
+def as_schema(text: str | None) -> T.StructType:
+    """Schema from the text of schema_of_variant_agg; no fields unless it describes objects."""
+    if not text or not text.startswith("OBJECT<"):
+        return T.StructType([])
+    plain = _OBJECT.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], text)
+    return T.StructType.fromDDL(f"r {plain}").fields[0].dataType
 
 
-def evolve_schema(spark: SparkSession, landing: str, schema_path: str, multiline: bool) -> T.StructType | None:
-    """Merge the fields of files that came since the last run into the stored schema.
-
-    Only files modified after the last look are read. They count again if
-    they arrive within the same minute, which does no harm. Returns None
-    while there is neither a stored schema nor a file.
-    """
-    schema, seen = stored_schema(spark, schema_path)
-    now = spark.sql("select date_format(current_timestamp() - interval 1 minute, \"yyyy-MM-dd'T'HH:mm:ss\") as t").first().t
-    reader = spark.read.option("multiLine", multiline).option("recursiveFileLookup", True)
-    if seen:
-        reader = reader.option("modifiedAfter", seen)
+def known_schema(spark: SparkSession, table: str) -> T.StructType:
+    """Fields of all payloads ingested so far, with merged types."""
     try:
-        found = reader.json(landing).schema
+        row = spark.read.schema(FIELDS_SCHEMA).json(f"{table}/fields").orderBy(F.desc("batch_id")).first()
     except AnalysisException as e:
-        # no file yet, or none since the last run
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = T.StructType([])
-    merged = merge_schemas(schema, found) if schema else found
-    if not merged.fields:
-        return None
-    entry = spark.createDataFrame([(merged.json(), now)], "schema_json string, seen_until string")
-    entry.withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode("append").json(schema_path)
-    return merged
-
-
-def bronze_rows(raw: DataFrame) -> DataFrame:
-    """Payload as one struct with the file it came from and the time it was read."""
-    return (
-        raw.select(F.struct("*").alias("raw_payload"), F.col("_metadata.file_path").alias("source_file"))
-        .withColumn("_ingested_at", F.current_timestamp())
-        .withColumn("ingestion_date", F.to_date("_ingested_at"))
+        row = None
+    return T.StructType.fromJson(json.loads(row.schema_json)) if row else T.StructType([])
+
+
+def field_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
+    """Path and type of every field, structs by their own fields; an array's elements follow as [*]."""
+    found = []
+    for f in schema.fields:
+        path, kind = f"{prefix}{f.name}", f.dataType
+        while isinstance(kind, T.ArrayType):
+            path, kind = path + "[*]", kind.elementType
+        found += field_paths(kind, f"{path}.") if isinstance(kind, T.StructType) and kind.fields else [(path, kind.simpleString())]
+    return found
+
+
+def known_fields(spark: SparkSession, table: str) -> DataFrame:
+    """(path, type) of all fields ingested so far; one row per field, not per payload."""
+    return spark.createDataFrame(field_paths(known_schema(spark, table)), "path string, type string")
+
+
+def payload_rows(texts: DataFrame) -> DataFrame:
+    """One row per JSON value; the elements of a list are values of their own. What is no JSON goes to ``malformed``."""
+    parsed = texts.where(F.trim("value") != "").withColumn("_v", F.try_parse_json("value"))
+    values = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
+    return parsed.select(
+        F.explode(values).alias("raw_payload"),
+        F.when(F.col("_v").isNull(), F.col("value")).alias("malformed"),
+        "source_file",
+        "source_modified",
+        "_ingested_at",
+        F.to_date("_ingested_at").alias("ingestion_date"),
     )
 
 
@@ -99,40 +109,47 @@ def ingest(
 ) -> DataFrame:
     """Process all new files of ``landing`` and return the bronze table.
 
-    Data, checkpoint and schema lie in sibling folders under ``table``.
+    Data, checkpoint and known fields lie in sibling folders under ``table``. With ``multiline`` a file is one JSON
+    value or list, read by one task; otherwise each line is one. One writer per table is assumed.
     """
-    schema = evolve_schema(spark, landing, f"{table}/schema", multiline)
-    if schema is None:
-        raise FileNotFoundError(f"no files in {landing}")
-    stream = (
-        spark.readStream.schema(schema)
-        .option("multiLine", multiline)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
-        .json(landing)
-    )
-    query = (
-        bronze_rows(stream)
-        .writeStream.format("parquet")
-        .option("path", f"{table}/data")
-        .option("checkpointLocation", f"{table}/checkpoint")
-        .partitionBy("ingestion_date")
-        .trigger(availableNow=True)
-        .start()
+    reader = spark.readStream.option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
+    # by default the source skips files a week older than the newest one it has seen
+    reader = reader.option("maxFileAge", "36500d")
+    try:
+        files = reader.option("wholetext", multiline).text(landing)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no files in {landing}") from e
+    texts = files.select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("source_modified"),
+        F.current_timestamp().alias("_ingested_at"),
     )
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        is_object = F.schema_of_variant("raw_payload").startswith("OBJECT<")
+        fields = F.schema_of_variant_agg(F.when(is_object, F.col("raw_payload"))).alias("fields")
+        rows = payload_rows(batch).observe(seen, fields)
+        rows.write.mode("overwrite").partitionBy("ingestion_date").parquet(f"{table}/data/batch_id={number}")
+        known = known_schema(batch.sparkSession, table) if number else T.StructType([])
+        merged = merge_schemas(known, as_schema(seen.get["fields"]))
+        entry = batch.sparkSession.createDataFrame([(merged.json(),)], "schema_json string")
+        entry.coalesce(1).write.mode("overwrite").json(f"{table}/fields/batch_id={number}")
+
+    query = texts.writeStream.foreachBatch(write).option("checkpointLocation", f"{table}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return read_bronze(spark, table)
 
 
-def read_bronze(spark: SparkSession, table: str) -> DataFrame:
-    """All rows ingested so far; files of different schema versions are merged."""
-    schema, _ = stored_schema(spark, f"{table}/schema")
-    full = T.StructType(
-        [
-            T.StructField("raw_payload", schema),
-            T.StructField("source_file", T.StringType()),
-            T.StructField("_ingested_at", T.TimestampType()),
-            T.StructField("ingestion_date", T.DateType()),
-        ]
-    )
-    return spark.read.schema(full).parquet(f"{table}/data")
+def read_bronze(spark: SparkSession, table: str, after_batch: int | None = None) -> DataFrame:
+    """All rows ingested so far, or those of the batches after a number, of which only the folders are read."""
+    try:
+        rows = spark.read.schema(SCHEMA).option("basePath", f"{table}/data").parquet(f"{table}/data")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"nothing was ingested into {table}") from e
+    return rows if after_batch is None else rows.where(F.col("batch_id") > after_batch)
