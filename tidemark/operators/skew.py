@@ -38,10 +38,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int]
     """
     limit = hot_group_rows(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    hot = staged(counts, "hotkeys")
-    total = hot.agg(F.sum("_rows")).first()[0]
+    total = counts.agg(F.sum("_rows")).first()[0]
     if not total:
         return None, 0
+    hot = staged(counts, "hotkeys")
     return hot.drop("_rows"), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
 
 
@@ -160,6 +160,33 @@ def _running_in_slices(
     return joined.withColumn(out, total).drop("_slice", "_value", "_here", "_before")
 
 
+def carried(df: DataFrame, partition: Sequence[str], order: Sequence[Column], value: str, out: str) -> DataFrame:
+    """Last value that is not null from the first row of the partition to the current row."""
+    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return by_group_size(
+        df,
+        partition,
+        None,
+        lambda rows: rows.withColumn(out, F.last(value, ignorenulls=True).over(w)),
+        lambda rows, slices: _carried_in_slices(rows, slices, partition, order, value, out),
+    )
+
+
+def _carried_in_slices(
+    df: DataFrame, slices: int, partition: Sequence[str], order: Sequence[Column], value: str, out: str
+) -> DataFrame:
+    keys = [*partition, "_slice"]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cut = _slices(df, partition, order, slices)
+    local = staged(cut.withColumn(out, F.last(value, ignorenulls=True).over(w)).withColumn("_at", F.row_number().over(w)), "slices")
+    ends = local.groupBy(*keys).agg(F.max_by(out, "_at").alias("_end"))
+    before = F.last("_end", ignorenulls=True).over(_earlier(partition))
+    carry = ends.withColumn("_before", before).filter(F.col("_before").isNotNull()).drop("_end")
+    # at most one carry row per slice
+    joined = attach(local, F.broadcast(carry), keys)
+    return joined.withColumn(out, F.coalesce(out, "_before")).drop("_slice", "_at", "_before")
+
+
 def numbered(
     df: DataFrame, partition: Sequence[str], order: Sequence[Column], out: str, sizes: DataFrame | None = None
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import columns as c
-from tidemark.operators.skew import latest_per_key, numbered, top_ranked
+from tidemark.operators.skew import carried, latest_per_key, numbered, same, top_ranked
 from tidemark.session import staged
 
 
@@ -80,6 +80,149 @@ def with_surrogate_key(dimension: DataFrame, out: str, key: str) -> DataFrame:
     return numbered(dimension, [], order, out).withColumn(out, F.col(out).cast("bigint"))
 
 
+def extend_keys(known: DataFrame | None, members: DataFrame, identity: Sequence[str], out: str) -> DataFrame:
+    """Numbers of all members ever seen: those in ``known`` stay, new ones get the next numbers in the order of ``identity``.
+
+    ``known`` has the columns of ``identity`` and ``out``. Only new members are sorted and numbered. Nulls in
+    ``identity`` are equal to each other.
+    """
+    fresh = members.select(*identity).distinct()
+    if known is None:
+        base = 0
+    else:
+        renamed = known.select(*[F.col(c).alias(f"_known_{c}") for c in identity])
+        fresh = fresh.join(renamed, same(fresh, renamed, [(c, f"_known_{c}") for c in identity]), "left_anti")
+        base = known.agg(F.max(out)).first()[0] or 0
+    fresh = numbered(staged(fresh, "new-members"), [], [F.col(c).asc_nulls_last() for c in identity], out)
+    fresh = fresh.withColumn(out, (F.col(out) + base).cast("bigint"))
+    return fresh if known is None else known.select(*identity, out).unionByName(fresh)
+
+
+def with_known_key(dimension: DataFrame, keys: DataFrame, identity: Sequence[str], out: str) -> DataFrame:
+    """Dimension rows with their numbers from the key map."""
+    renamed = keys.select(*[F.col(c).alias(f"_known_{c}") for c in identity], out)
+    joined = dimension.join(renamed, same(dimension, renamed, [(c, f"_known_{c}") for c in identity]), "left")
+    return joined.select(out, *dimension.columns)
+
+
+def scd2_merge(
+    dimension: DataFrame | None, updates: DataFrame, key: str, tracked: Sequence[str], date_column: str
+) -> DataFrame:
+    """Dimension after dated updates, however late or often they come.
+
+    A version knows the days on which it was delivered (``delivered_on``), so an update dated inside it cuts it there,
+    and equal neighbours become one version again without losing a day. Updates in any order and any repetition give
+    the dimension that all of them give at once. Of several updates of a key on one day the one with the greater values
+    counts. Only keys with updates are worked out anew. At most one row per key and day enters a window.
+    """
+    columns = [key, *tracked, "start_date", "end_date", "is_current", "delivered_on"]
+    days = updates.select(key, *tracked, F.col(date_column).cast("date").alias("_day"))
+    untouched = None
+    if dimension is not None:
+        keys = updates.select(F.col(key).alias("_touched")).distinct()
+        touched = F.col(key).eqNullSafe(F.col("_touched"))
+        untouched = dimension.join(keys, touched, "left_anti").select(*columns)
+        again = dimension.join(keys, touched, "left_semi")
+        days = days.unionByName(again.select(key, *tracked, F.explode("delivered_on").alias("_day")))
+    daily = latest_per_key(days, [key, "_day"], [F.col(name).desc_nulls_last() for name in tracked])
+    w = Window.partitionBy(key).orderBy("_day")
+    now = F.struct(*tracked)
+    begins = (F.row_number().over(w) == 1) | ~F.lag(now).over(w).eqNullSafe(now)
+    runs = daily.withColumn("_begins", begins.cast("int")).withColumn("_run", F.sum("_begins").over(w))
+    versions = runs.groupBy(key, "_run").agg(
+        *[F.first(name).alias(name) for name in tracked],
+        F.min("_day").alias("start_date"),
+        F.array_sort(F.collect_list("_day")).alias("delivered_on"),
+    )
+    end = F.lead("start_date").over(Window.partitionBy(key).orderBy("start_date"))
+    versions = versions.withColumn("end_date", end).withColumn("is_current", F.col("end_date").isNull()).select(*columns)
+    return versions if untouched is None else untouched.unionByName(versions)
+
+
+def as_of(facts: DataFrame, dimension: DataFrame, key: str, date_column: str, take: Sequence[str]) -> DataFrame:
+    """Each fact with the dimension version valid on its date, by one sort of facts and versions together.
+
+    The last version at or before a fact is carried to it, over slices where a key is hot; a fact never meets more than
+    one version. For a key's versions that do not overlap this gives what ``point_in_time`` gives. Null keys and dates
+    have no version.
+    """
+    known = dimension.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"),
+        F.col("start_date").alias("_day"),
+        F.lit(0).alias("_kind"),
+        F.struct(F.col("end_date").alias("_end"), *take).alias("_version"),
+        F.lit(None).cast(facts.select(F.struct("*")).schema[0].dataType).alias("_fact"),
+    )
+    asked = facts.select(
+        F.col(key).alias("_key"),
+        F.col(date_column).cast("date").alias("_day"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast(known.schema["_version"].dataType).alias("_version"),
+        F.struct("*").alias("_fact"),
+    )
+    order = [F.col("_day").asc_nulls_first(), F.col("_kind").asc()]
+    both = carried(known.unionByName(asked), ["_key"], order, "_version", "_valid")
+    open_on_day = F.col("_valid._end").isNull() | (F.col("_day") < F.col("_valid._end"))
+    return both.where("_kind = 1").select(
+        "_fact.*", *[F.when(open_on_day & F.col("_day").isNotNull(), F.col(f"_valid.{name}")).alias(name) for name in take]
+    )
+
+
+def with_inferred_members(
+    versions: DataFrame, facts: DataFrame, key: str, tracked: Sequence[str], date_column: str
+) -> DataFrame:
+    """Versions that cover every fact with a key, with ``is_inferred``.
+
+    A member that facts name before any snapshot does gets a version without values from its first fact on. A member
+    known only from later on has its first version begin at its first fact. So a snapshot that comes later fills the
+    placeholder: the same version then has values (see ``member_keys`` for its number).
+    """
+    earliest = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(date_column).cast("date").alias("_fact_day"))
+    first = versions.groupBy(key).agg(F.min("start_date").alias("_first_day"))
+    early = staged(
+        earliest.join(first, key, "left").where(F.col("_first_day").isNull() | (F.col("_fact_day") < F.col("_first_day"))),
+        "early-facts",
+    )
+    columns = [key, *tracked, "start_date", "end_date", "is_current", "is_inferred"]
+    begins = F.when(F.col("start_date") == F.col("_first_day"), F.col("_fact_day")).otherwise(F.col("start_date"))
+    known = versions.join(early, key, "left").withColumn("start_date", begins).withColumn("is_inferred", F.lit(False))
+    kinds = {name: versions.schema[name].dataType for name in tracked}
+    unknown = early.where("_first_day is null").select(
+        key,
+        *[F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()],
+        F.col("_fact_day").alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"),
+        F.lit(True).alias("is_current"),
+        F.lit(True).alias("is_inferred"),
+    )
+    return known.select(*columns).unionByName(unknown.select(*columns))
+
+
+def member_keys(versions: DataFrame, known: DataFrame | None, key: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """Versions with their numbers, and the key map after this build.
+
+    A version is known by its member and start. A placeholder's start may move, to an earlier fact or to the snapshot
+    that fills it: where a member's first number belongs to no version any more, its first version takes it over. So
+    what facts refer to stays, and only versions that are new get new numbers.
+    """
+    identity = [key, "start_date"]
+
+    def without(df: DataFrame, other: DataFrame) -> DataFrame:
+        renamed = other.select(*[F.col(name).alias(f"_o_{name}") for name in identity])
+        return df.join(renamed, same(df, renamed, [(name, f"_o_{name}") for name in identity]), "left_anti")
+
+    if known is None:
+        keys = staged(extend_keys(None, versions, identity, out), "member-keys")
+        return with_known_key(versions, keys, identity, out), keys
+    earliest = known.groupBy(key).agg(F.min_by(out, "start_date").alias("_number"), F.min("start_date").alias("start_date"))
+    left_over = without(earliest, versions).select(F.col(key).alias("_member"), F.col("_number").alias(out))
+    firsts = versions.groupBy(key).agg(F.min("start_date").alias("start_date"))
+    moved = without(firsts, known)
+    moved = staged(moved.join(left_over, moved[key].eqNullSafe(left_over["_member"])).select(*identity, out), "moved-members")
+    keys = staged(extend_keys(known, without(versions, moved), identity, out), "member-keys")
+    return with_known_key(versions, keys.unionByName(moved), identity, out), keys
+
+
 def dim_customer(snapshots: DataFrame, tracked: Sequence[str], date_column: str = "snapshot_date") -> DataFrame:
     versions = scd2_versions(snapshots, "customer_id", tracked, date_column)
     return with_surrogate_key(staged(versions, "versions"), "customer_key", "customer_id")
@@ -137,6 +280,17 @@ def point_in_time(facts: DataFrame, dimension: DataFrame, key: str, date_column:
     return facts.join(valid, (facts[key] == F.col("_k")) & during, "left").drop("_k", "_s", "_e")
 
 
+#: Number of the member that stands for a missing key in a fact.
+UNKNOWN_MEMBER = 0
+
+
+def with_unknown_member(dimension: DataFrame, out: str) -> DataFrame:
+    """Dimension with one more row for facts that have no key, all else null."""
+    rest = [F.lit(True if f.name == "is_inferred" else None).cast(f.dataType).alias(f.name) for f in dimension.schema.fields if f.name != out]
+    one = dimension.sparkSession.range(1).select(F.lit(UNKNOWN_MEMBER).cast("bigint").alias(out), *rest)
+    return dimension.unionByName(one)
+
+
 def fact_sales(sale_lines: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order item with the keys of the versions valid on the order date."""
     keyed = point_in_time(sale_lines, customers, "customer_id", "full_date", ["customer_key"])
@@ -162,6 +316,14 @@ def with_fact_key(facts: DataFrame, out: str = "fact_key") -> DataFrame:
     return facts.select(F.monotonically_increasing_id().alias(out), "*")
 
 
+def daily_sales(sale_lines: DataFrame, products: DataFrame) -> DataFrame:
+    """What ``fact_sales_daily`` gives, straight from order items: summed per product and day before the lookup."""
+    revenue = (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)")
+    sums = sale_lines.groupBy("product_id", "full_date").agg(F.sum("quantity").alias("quantity"), F.sum(revenue).alias("revenue"))
+    keyed = point_in_time(sums, products, "product_id", "full_date", ["product_key"])
+    return fact_sales_daily(keyed.select(c.date_key("full_date").alias("date_key"), "product_key", "quantity", "revenue"))
+
+
 def fact_sales_daily(facts: DataFrame) -> DataFrame:
     return facts.groupBy("date_key", "product_key").agg(
         F.sum("quantity").alias("total_quantity"), F.sum("revenue").cast("decimal(18,2)").alias("total_revenue")

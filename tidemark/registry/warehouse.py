@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.adapters import Tables
 from tidemark.operators import quality as q
 from tidemark.operators import star
-from tidemark.plans.warehouse import build_warehouse
+from tidemark.plans.warehouse import build_warehouse, refresh_warehouse
 from tidemark.registry.base import register, rounded
 from tidemark.session import fresh_path, staged
 
@@ -87,7 +87,7 @@ class Star:
 
     @cached_property
     def daily(self):
-        return star.fact_sales_daily(self.facts)
+        return star.daily_sales(self._t.sale_lines, self.products)
 
 
 register("i01_dim_date", lambda t: star.dim_date_for(t.shop_orders, "order_date"), f"select * from {CALENDAR_SQL} d")
@@ -103,6 +103,23 @@ register(
 )
 
 
+def _key_map(t):
+    """Numbers after two builds: odd products first, then all of them."""
+    versions = star.scd2_versions(t.product_history, "product_id", PRODUCT_TRACKED, "snapshot_date")
+    identity, out = ["product_id", "start_date"], "product_key"
+    first = staged(star.extend_keys(None, versions.filter("product_id % 2 = 1"), identity, out), "keys")
+    keys = star.extend_keys(first, versions, identity, out)
+    return star.with_known_key(versions, keys, identity, out).select(out, *identity, "category")
+
+
+register(
+    "i04_key_map",
+    _key_map,
+    f"""select row_number() over (order by product_id % 2 = 0, product_id, start_date) as product_key,
+               product_id, start_date, category from {PRODUCTS_SQL} d""",
+)
+
+
 def _applied(t):
     history = t.customer_history
     last = dt.date(1999, 1, 1)
@@ -118,6 +135,41 @@ register(
     _applied,
     f"select customer_id, country, customer_segment, start_date, end_date, is_current from {CUSTOMERS_SQL} d",
 )
+
+
+def _merged_late(t):
+    """The customer dimension after three deliveries, each with days from all over the history, one of them twice."""
+    history = t.customer_history
+    part = F.pmod(F.col("customer_id") + F.month("snapshot_date") + F.year("snapshot_date"), F.lit(3))
+    dimension = None
+    for k in (2, 0, 0, 1):
+        update = history.filter(part == k)
+        dimension = staged(star.scd2_merge(dimension, update, "customer_id", CUSTOMER_TRACKED, "snapshot_date"), "merged")
+    return dimension.withColumn("days", F.size("delivered_on")).drop("delivered_on")
+
+
+register(
+    "i05_late_updates",
+    _merged_late,
+    f"""select d.customer_id, d.country, d.customer_segment, d.start_date, d.end_date, d.is_current,
+               cast(count(*) as integer) as days
+        from {CUSTOMERS_SQL} d join customer_history h on h.customer_id = d.customer_id
+          and h.snapshot_date >= d.start_date and (d.end_date is null or h.snapshot_date < d.end_date)
+        group by all""",
+)
+register(
+    "i06_as_of_merge",
+    lambda t: star.as_of(
+        t.sale_lines.select("order_id", "customer_id", "full_date", "quantity"),
+        Star(t).customers,
+        "customer_id",
+        "full_date",
+        ["customer_key", "customer_segment"],
+    ),
+    f"""select l.order_id, l.customer_id, l.full_date, l.quantity, c.customer_key, c.customer_segment
+        from sale_lines l left join {CUSTOMERS_SQL} c on c.customer_id = l.customer_id
+          and l.full_date >= c.start_date and l.full_date < coalesce(c.end_date, date '9999-12-31')""",
+)
 register(
     "i06_point_in_time",
     lambda t: star.point_in_time(
@@ -136,6 +188,35 @@ register(
     lambda t: Star(t).facts,
     f"select customer_key, product_key, date_key, order_id, quantity, unit_price, revenue from {FACTS_SQL} f",
 )
+
+
+def _inferred(t):
+    """Revenue by customer version, where a fifth of the customers and all days before 1997 lack snapshots."""
+    known = t.customer_history.filter("customer_id % 5 <> 0 and snapshot_date >= date'1997-01-01'")
+    tables = refresh_warehouse(
+        t.spark, fresh_path(t.spark, "refreshed"), t.sale_lines, known, t.product_history, CUSTOMER_TRACKED, PRODUCT_TRACKED
+    )
+    totals = tables["fact_sales"].groupBy("customer_key").agg(
+        F.sum("revenue").cast("decimal(18,2)").alias("revenue"), F.count(F.lit(1)).alias("items")
+    )
+    named = totals.join(tables["dim_customer"], "customer_key")
+    return named.groupBy("customer_id", "customer_segment", "is_inferred").agg(
+        F.sum("revenue").cast("decimal(18,2)").alias("revenue"), F.sum("items").alias("items")
+    )
+
+
+register(
+    "i07_inferred_members",
+    _inferred,
+    f"""with h as (select * from customer_history where customer_id % 5 <> 0 and snapshot_date >= date '1997-01-01'),
+             v as {_versions_sql('h', 'customer_id', CUSTOMER_TRACKED, 'customer_key')},
+             f as (select *, row_number() over (partition by customer_id order by start_date) as no from v)
+        select l.customer_id, f.customer_segment, f.customer_id is null as is_inferred,
+               cast(sum(cast(l.quantity * l.unit_price as decimal(12,2))) as decimal(18,2)) as revenue, count(*) as items
+        from sale_lines l left join f on f.customer_id = l.customer_id
+          and (f.no = 1 or f.start_date <= l.full_date) and (f.end_date is null or l.full_date < f.end_date)
+        group by 1, 2, 3""",
+)
 register(
     "i08_fact_sales_daily",
     lambda t: Star(t).daily,
