@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import layers as g
 from tidemark.operators import quality as q
+from tidemark.plans.additive import COUNTS, AdditiveTable, add_changes, contributors_of_days, daily_contributors
 from tidemark.plans.medallion import DATASETS, Dataset, ingest_and_merge, ingest_and_refresh, publish, run_order
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
@@ -123,7 +126,7 @@ def test_silver_merges_only_new_batches(spark, landing, tmp_path):
     merged, metrics = ingest_and_merge(spark, landing, folder)
     rebuilt, other = ingest_and_refresh(spark, landing, str(tmp_path / "rebuilt"))
     for name in DATASETS:
-        assert rows_of(merged[name].drop("ingestion_date")) == rows_of(rebuilt[name].drop("ingestion_date")), name
+        assert rows_of(merged[name].select(*rebuilt[name].columns).drop("ingestion_date")) == rows_of(rebuilt[name].drop("ingestion_date")), name
     assert {r.event_id: r.actor_login for r in merged["silver_events"].collect()} == {"1": "eve", "2": "bob", "3": "ann", "4": "ann"}
     assert merged["silver_repos"].first().stars == 7
     assert {(r.rule, r.failed) for r in metrics["silver_events"].collect()} == {(r.rule, r.failed) for r in other["silver_events"].collect()}
@@ -132,6 +135,78 @@ def test_silver_merges_only_new_batches(spark, landing, tmp_path):
     assert SnapshotTable(spark, f"{folder}/silver_events_state").current_version() == 1
 
 
+EVENTS = "event_id string, event_type string, actor_login string, repo_name string, created_at timestamp, created_at_date date"
+
+
+def some_events(rng, n):
+    days = [dt.datetime(2024, 1, 1 + rng.randrange(4), rng.randrange(24), 5) for _ in range(n)]
+    return [(str(rng.randrange(40)), rng.choice(["a", "b", None]), rng.choice(["x", "y", None]), rng.choice(["o/p", "o/q", None]), d, d.date()) for d in days]
+
+
+def test_counts_added_up_equal_counts_anew(spark, tmp_path):
+    rng, state = random.Random(3), {}
+    for run in range(5):
+        rows = {r[0]: r for r in some_events(rng, 25 if run != 3 else 0)}
+        before = [state[k] for k in rows if k in state]
+        frames = [spark.createDataFrame(x, EVENTS) for x in (before, list(rows.values()))]
+        if run == 2:  # an attempt that was not completed, with other rows
+            add_changes(spark, str(tmp_path), frames[0], frames[1].limit(3), run, fold_every=2)
+        tables = add_changes(spark, str(tmp_path), *frames, run, fold_every=2)
+        state.update(rows)
+        now = spark.createDataFrame(list(state.values()), EVENTS)
+        for name, counts in COUNTS.items():
+            assert rows_of(tables[name]) == rows_of(counts.build(now).select(*tables[name].columns)), (run, name)
+    assert AdditiveTable(spark, f"{tmp_path}/repo_velocity_counts", COUNTS["repo_velocity"]).folded() == 3
+
+
+def test_reading_counts_of_a_day_opens_its_folders_only(spark, tmp_path):
+    rows = spark.createDataFrame(some_events(random.Random(4), 40), EVENTS)
+    table = add_changes(spark, str(tmp_path), rows.limit(0), rows, 0)["repo_velocity"]
+    plan = table.where("window_date = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan and "window_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    with pytest.raises(LookupError):
+        AdditiveTable(spark, str(tmp_path / "none"), COUNTS["repo_velocity"]).read()
+
+
+def test_sketches_of_days_merge_within_their_error(spark):
+    events = spark.range(60_000).selectExpr("concat('u', id % 20000) as actor_login", "concat('r', id % 3) as repo_name", "date_add(date'2024-01-01', cast(id % 7 as int)) as created_at_date")
+    daily = daily_contributors(events)
+    assert daily.count() == 21
+    exact = {r.repo_name: r.unique_contributors for r in g.user_stats(events).collect()}
+    for r in contributors_of_days(daily).collect():
+        assert abs(r.unique_contributors - exact[r.repo_name]) <= 0.05 * exact[r.repo_name]
+    few = spark.createDataFrame([("a", "r", dt.date(2024, 1, 1)), ("a", "r", dt.date(2024, 1, 2)), ("b", "r", dt.date(2024, 1, 2))], "actor_login string, repo_name string, created_at_date date")
+    assert [tuple(r) for r in contributors_of_days(daily_contributors(few)).collect()] == [("r", 2)]
+
+
+def test_a_repeated_profile_stops_the_publish(spark, tmp_path):
+    events = spark.createDataFrame([("1", "push", "ann", "o/r", dt.datetime(2024, 1, 1), dt.date(2024, 1, 1))], EVENTS)
+    schema = "repo_name string, stars int, forks int, primary_language string, open_issues int"
+    once = spark.createDataFrame([("o/r", 1, 1, "Go", 1), ("o/q", 1, 1, "Go", 1)], schema)
+    spec = DATASETS["repo_enriched"]
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    publish(table, spec.build(events, once), spec.rules, "repo_enriched", spec.hidden)
+    assert table.read().columns == [*g.EVENT_COLUMNS, *g.REPO_COLUMNS] and table.read().first().stars == 1
+    with pytest.raises(q.ExpectationFailed, match="one profile per repository"):
+        publish(table, spec.build(events, once.union(once)), spec.rules, "repo_enriched", spec.hidden)
+    assert table.current_version() == 0
+    plan = spec.build(events, once)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(repo_name") <= 2  # one for the events, one for grouping and join
+
+
+def test_all_foreign_keys_in_one_scan_a_table(spark):
+    child = spark.createDataFrame([(1, 1, "x"), (1, 9, "y"), (None, 9, "x"), (5, None, None)], "a int, b int, c string")
+    parent = spark.createDataFrame([(1, "x"), (2, "x"), (None, None)], "id int, name string")
+    keys = [q.ForeignKey("child", "a", "parent", "id"), q.ForeignKey("child", "b", "parent", "id"), q.ForeignKey("child", "c", "parent", "name"), q.ForeignKey("parent", "id", "parent", "id")]
+    for df, name in ((child, "child"), (parent, "parent")):
+        df.write.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/keys-{name}")
+    tables = {name: spark.read.parquet(f"{spark.conf.get('spark.checkpoint.dir')}/keys-{name}") for name in ("child", "parent")}
+    checked = q.foreign_keys_check(tables, keys)
+    assert rows_of(checked) == [("child.a", 1, 1), ("child.b", 2, 1), ("child.c", 1, 1), ("parent.id", 0, 0)]
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?<!Local)Relation \[", plan)) == 3  # the child, the parent as child, the parent as parent
+
+
 def test_new_batches_are_pruned_by_folder(spark, landing, tmp_path):
     folder = str(tmp_path / "b")
     b.ingest(spark, landing["bronze_events"], folder)

@@ -128,10 +128,13 @@ class Latest:
 
         The latest of the latest and the new rows is the latest of all rows, so the result is that of a rebuild.
         """
-        touched = fresh.select(F.col(self.key).alias("_touched")).distinct()
-        same = F.col(self.key).eqNullSafe(F.col("_touched"))
-        again = self.state(state.join(touched, same, "left_semi").unionByName(fresh))
-        return state.join(touched, same, "left_anti").unionByName(again)
+        again = self.state(self.touched(state, fresh).unionByName(fresh))
+        return self.touched(state, fresh, "left_anti").unionByName(again)
+
+    def touched(self, state: DataFrame, fresh: DataFrame, how: str = "left_semi") -> DataFrame:
+        """Rows of the state whose keys occur in ``fresh``, or with ``left_anti`` the others."""
+        keys = fresh.select(F.col(self.key).alias("_touched")).distinct()
+        return state.join(keys, F.col(self.key).eqNullSafe(F.col("_touched")), how)
 
     def published(self, state: DataFrame) -> DataFrame:
         return state.drop(*LINEAGE, CHANGED_AT)
@@ -188,30 +191,45 @@ REPO_COLUMNS = ("stars", "forks", "primary_language", "open_issues")
 USER_COLUMNS = ("company", "location", "followers", "public_repos")
 
 
-def _enrich(events: DataFrame, dimension: DataFrame, key: str, take: Sequence[str]) -> DataFrame:
+#: Names of the columns that count the profiles an event met, for the rules below.
+REPO_PROFILES, USER_PROFILES = "_repo_profiles", "_user_profiles"
+ONE_REPO = expect_or_fail("one profile per repository", f"coalesce({REPO_PROFILES}, 1) = 1")
+ONE_USER = expect_or_fail("one profile per contributor", f"coalesce({USER_PROFILES}, 1) = 1")
+
+
+def _enrich(events: DataFrame, dimension: DataFrame, key: str, take: Sequence[str], profiles: str | None = None) -> DataFrame:
     """Left join to a dimension with one row per key.
 
     No broadcast hint: the planner broadcasts the dimension if its files are
     small. Otherwise a hot key on the event side is split at run time.
+    With ``profiles`` the dimension is grouped by key, in the shuffle that
+    the join needs anyway, and the rows per key are counted in that column:
+    events do not multiply, and a rule can tell a repeated profile.
     """
-    return events.join(dimension.select(key, *take), key, "left")
+    rows = dimension.select(key, *take)
+    if profiles:
+        rows = rows.groupBy(key).agg(F.count(F.lit(1)).alias(profiles), *[F.any_value(name).alias(name) for name in take])
+    return events.join(rows, key, "left")
 
 
-def repo_enriched(events: DataFrame, repos: DataFrame) -> DataFrame:
+def repo_enriched(events: DataFrame, repos: DataFrame, guarded: bool = False) -> DataFrame:
     """Each event with its repository's attributes."""
-    return _enrich(events, repos, "repo_name", REPO_COLUMNS).select(*EVENT_COLUMNS, *REPO_COLUMNS)
+    guard = (REPO_PROFILES,) if guarded else ()
+    return _enrich(events, repos, "repo_name", REPO_COLUMNS, *guard).select(*EVENT_COLUMNS, *REPO_COLUMNS, *guard)
 
 
-def user_enriched(events: DataFrame, users: DataFrame) -> DataFrame:
+def user_enriched(events: DataFrame, users: DataFrame, guarded: bool = False) -> DataFrame:
     """Each event with its contributor's profile."""
-    return _enrich(events, users, "actor_login", USER_COLUMNS).select(*EVENT_COLUMNS, *USER_COLUMNS)
+    guard = (USER_PROFILES,) if guarded else ()
+    return _enrich(events, users, "actor_login", USER_COLUMNS, *guard).select(*EVENT_COLUMNS, *USER_COLUMNS, *guard)
 
 
-def activity_summary(events: DataFrame, repos: DataFrame, users: DataFrame) -> DataFrame:
+def activity_summary(events: DataFrame, repos: DataFrame, users: DataFrame, guarded: bool = False) -> DataFrame:
     """Each event with repository and contributor attributes."""
-    with_repo = _enrich(events, repos, "repo_name", REPO_COLUMNS)
-    return _enrich(with_repo, users, "actor_login", USER_COLUMNS).select(
-        *EVENT_COLUMNS, *REPO_COLUMNS, *USER_COLUMNS
+    guard = (REPO_PROFILES, USER_PROFILES) if guarded else ()
+    with_repo = _enrich(events, repos, "repo_name", REPO_COLUMNS, *guard[:1])
+    return _enrich(with_repo, users, "actor_login", USER_COLUMNS, *guard[1:]).select(
+        *EVENT_COLUMNS, *REPO_COLUMNS, *USER_COLUMNS, *guard
     )
 
 

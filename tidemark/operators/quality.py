@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -111,7 +112,7 @@ def unique_vs_total(df: DataFrame, key: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if some key is repeated; stops at the first one found."""
+    """Raise if some key is repeated, with one of them."""
     found = duplicate_keys(df, keys).limit(1).collect()
     if found:
         raise DuplicateKeys(f"repeated key {[found[0][k] for k in keys]} in {list(keys)}")
@@ -145,6 +146,54 @@ def foreign_key_check(child: DataFrame, column: str, parent: DataFrame, parent_k
     ).select(F.lit(name).alias("constraint_name"), "orphan_rows", "orphan_keys")
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """A column of a child table whose values must be among a parent table's key."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.child}.{self.column}"
+
+
+def foreign_keys_check(tables: Mapping[str, DataFrame], constraints: Sequence[ForeignKey]) -> DataFrame:
+    """One row per constraint: rows whose key has no parent, and such keys. Null keys are allowed.
+
+    Every child is read once for all its constraints, every parent once for
+    all its keys: each row is stacked to (constraint, key) pairs, which are
+    counted before they move, and one anti join against the stacked parent
+    keys finds the orphans. Keys are compared as text, so a child's column
+    and its parent's key must be of one type.
+    """
+
+    def stacked(name: str, columns: Mapping[str, str]) -> DataFrame:
+        pairs = [F.struct(F.lit(label).alias("name"), F.col(column).cast("string").alias("key")) for label, column in columns.items()]
+        return tables[name].select(F.inline(F.array(*pairs))).where("key is not null")
+
+    if not constraints:
+        raise ValueError("no foreign keys to check")
+    children: dict[str, dict[str, str]] = {}
+    parents: dict[str, dict[str, str]] = {}
+    for c in constraints:
+        children.setdefault(c.child, {})[c.name] = c.column
+        parents.setdefault(c.parent, {})[f"{c.parent}.{c.key}"] = c.key
+    used = reduce(DataFrame.unionByName, [stacked(t, columns).groupBy("name", "key").agg(F.count(F.lit(1)).alias("n")) for t, columns in children.items()])
+    known = reduce(DataFrame.unionByName, [stacked(t, columns).distinct() for t, columns in parents.items()])
+    parent_of = F.create_map(*[F.lit(x) for c in constraints for x in (c.name, f"{c.parent}.{c.key}")])
+    known = known.withColumnsRenamed({"name": "_parent", "key": "_key"})
+    orphans = used.join(known, (parent_of[F.col("name")] == F.col("_parent")) & (F.col("key") == F.col("_key")), "left_anti")
+    per_constraint = orphans.groupBy("name").agg(F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
+    every = tables[constraints[0].child].sparkSession.createDataFrame([(c.name,) for c in constraints], "constraint_name string")
+    zero = F.lit(0).cast("bigint")
+    return every.join(per_constraint, F.col("constraint_name") == F.col("name"), "left").select(
+        "constraint_name", F.coalesce("orphan_rows", zero).alias("orphan_rows"), F.coalesce("orphan_keys", zero).alias("orphan_keys")
+    )
+
+
 def partial_unique_check(df: DataFrame, condition: str, keys: Sequence[str]) -> DataFrame:
     """Keys repeated among the rows that satisfy the condition."""
     return duplicate_keys(df.filter(F.expr(condition)), keys)

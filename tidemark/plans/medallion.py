@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from graphlib import TopologicalSorter
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import layers
-from tidemark.operators.quality import Rule, RuleWatch
+from tidemark.operators.quality import Rule, RuleWatch, keep_valid
+from tidemark.plans.additive import COUNTS, AdditiveTable, Counts, add_changes
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.bronze import ingest, read_bronze
 
@@ -23,6 +26,8 @@ class Dataset:
     build: Callable[..., DataFrame]
     partition_by: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = ()
+    #: columns that only the rules read
+    hidden: tuple[str, ...] = ()
 
 
 DATASETS: Mapping[str, Dataset] = {
@@ -32,11 +37,27 @@ DATASETS: Mapping[str, Dataset] = {
     "repo_velocity": Dataset(("silver_events",), layers.repo_velocity, ("window_date",)),
     "user_stats": Dataset(("silver_events",), layers.user_stats),
     "event_distribution": Dataset(("silver_events",), layers.event_distribution),
-    "repo_enriched": Dataset(("silver_events", "silver_repos"), layers.repo_enriched, ("created_at_date",)),
+    "repo_enriched": Dataset(
+        ("silver_events", "silver_repos"),
+        partial(layers.repo_enriched, guarded=True),
+        ("created_at_date",),
+        (layers.ONE_REPO,),
+        (layers.REPO_PROFILES,),
+    ),
     "language_distribution": Dataset(("repo_enriched",), layers.language_distribution),
-    "user_enriched": Dataset(("silver_events", "silver_users"), layers.user_enriched, ("created_at_date",)),
+    "user_enriched": Dataset(
+        ("silver_events", "silver_users"),
+        partial(layers.user_enriched, guarded=True),
+        ("created_at_date",),
+        (layers.ONE_USER,),
+        (layers.USER_PROFILES,),
+    ),
     "activity_summary": Dataset(
-        ("silver_events", "silver_repos", "silver_users"), layers.activity_summary, ("created_at_date",)
+        ("silver_events", "silver_repos", "silver_users"),
+        partial(layers.activity_summary, guarded=True),
+        ("created_at_date",),
+        (layers.ONE_REPO, layers.ONE_USER),
+        (layers.REPO_PROFILES, layers.USER_PROFILES),
     ),
 }
 
@@ -47,28 +68,37 @@ def run_order(datasets: Mapping[str, Dataset] = DATASETS) -> list[str]:
     return list(TopologicalSorter(graph).static_order())
 
 
-def publish(table: SnapshotTable, df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame | None:
+def publish(
+    table: SnapshotTable, df: DataFrame, rules: Sequence[Rule], dataset: str, hidden: Sequence[str] = ()
+) -> DataFrame | None:
     """Write the rows that pass, and make them visible only if no fail rule was broken.
 
-    Rules are counted on the dataset's output in the tasks that write it.
+    Rules are counted on the dataset's output in the tasks that write it;
+    columns in ``hidden`` are there for the rules and not written.
     Returns the rule counts, None without rules.
     """
     if not rules:
         table.write(df, "REFRESH")
         return None
     watch = RuleWatch(rules, dataset)
-    table.write(df, "REFRESH", before_publish=watch.enforce, last_step=watch.watched)
+    table.write(df, "REFRESH", before_publish=watch.enforce, last_step=lambda rows: watch.watched(rows).drop(*hidden))
     return watch.metrics(table.spark)
 
 
 def merge_new_batches(
-    spark: SparkSession, folder: str, bronze_tables: Mapping[str, str], datasets: Mapping[str, Dataset] = DATASETS
+    spark: SparkSession,
+    folder: str,
+    bronze_tables: Mapping[str, str],
+    datasets: Mapping[str, Dataset] = DATASETS,
+    counts: Mapping[str, Mapping[str, Counts]] = MappingProxyType({}),
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Bring the tables that keep the latest row per key up to date from the bronze batches since the last run.
 
     ``bronze_tables`` maps bronze names to their folders. Beside each table lies its state, which also holds rows that
     the rules drop and every row's origin; the highest batch in it tells where to go on. A batch merged again changes
-    nothing, so a run that ended between state and table is simply repeated. Returns tables and rule counts.
+    nothing, so a run that ended between state and table is simply repeated. ``counts`` names, per table, counts of its
+    rows that are kept up to date by addition; the differences are written before the new state becomes visible, and
+    replaced if that run is repeated. Returns tables and rule counts.
     """
     tables: dict[str, DataFrame] = {}
     metrics: dict[str, DataFrame] = {}
@@ -76,19 +106,31 @@ def merge_new_batches(
         if not isinstance(spec.build, layers.Latest):
             continue
         state = SnapshotTable(spark, f"{folder}/{name}_state")
-        source = bronze_tables[spec.reads[0]]
-        if state.current_version() is None:
-            state.write(spec.build.state(spec.build.flat(read_bronze(spark, source))), "BUILD")
-        else:
-            before = state.read()
-            done = before.agg(F.max("batch_id")).first()[0]
-            fresh = spec.build.flat(read_bronze(spark, source, -1 if done is None else done))
-            if not fresh.isEmpty():
-                state.write(spec.build.merge(before, fresh), "MERGE")
+        source, latest, added = bronze_tables[spec.reads[0]], spec.build, counts.get(name, {})
+        run = state.current_version()
+        before = None if run is None else state.read()
+        done = None if before is None else before.agg(F.max("batch_id")).first()[0]
+        fresh = latest.flat(read_bronze(spark, source, done))
+        after = latest.state(fresh) if before is None else latest.merge(before, fresh)
+        if before is None or not fresh.isEmpty():
+            number = 0 if run is None else run + 1
+
+            def record(spec=spec, before=before, fresh=fresh, schema=after.schema, target=f"{state.path}/version={number}", number=number, added=added):
+                written = spark.read.schema(schema).parquet(target)
+                kept = lambda rows: keep_valid(spec.build.published(rows), spec.rules)
+                if before is None:
+                    add_changes(spark, folder, kept(written).limit(0), kept(written), number, added)
+                else:
+                    changed = [kept(spec.build.touched(rows, fresh)) for rows in (before, written)]
+                    add_changes(spark, folder, *changed, number, added)
+
+            state.write(after, "BUILD" if before is None else "MERGE", before_publish=record)
+        for count_name, spec_of_count in added.items():
+            tables[count_name] = AdditiveTable(spark, f"{folder}/{count_name}_counts", spec_of_count).read()
         table = SnapshotTable(spark, f"{folder}/{name}", spec.partition_by)
-        counts = publish(table, spec.build.published(state.read()), spec.rules, name)
-        if counts is not None:
-            metrics[name] = counts
+        checked = publish(table, spec.build.published(state.read()), spec.rules, name)
+        if checked is not None:
+            metrics[name] = checked
         tables[name] = table.read()
     return tables, metrics
 
@@ -96,9 +138,10 @@ def merge_new_batches(
 def ingest_and_merge(
     spark: SparkSession, landing: Mapping[str, str], folder: str, multiline: bool = True
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """As ``ingest_and_refresh``, but the latest rows per key are merged from new batches instead of ranked anew."""
+    """As ``ingest_and_refresh``, but the latest rows per key are merged from new batches instead of ranked anew, and
+    counts of events are added up instead of counted anew."""
     bronze = _ingest_all(spark, landing, folder, multiline)
-    silver, metrics = merge_new_batches(spark, folder, {name: f"{folder}/{name}" for name in landing})
+    silver, metrics = merge_new_batches(spark, folder, {name: f"{folder}/{name}" for name in landing}, counts={"silver_events": COUNTS})
     rest = {name: spec for name, spec in DATASETS.items() if name not in silver}
     tables, more = refresh(spark, folder, {**bronze, **silver}, rest)
     return tables, {**metrics, **more}
@@ -113,7 +156,7 @@ def refresh(
     for name in run_order(datasets):
         spec = datasets[name]
         table = SnapshotTable(spark, f"{folder}/{name}", spec.partition_by)
-        counts = publish(table, spec.build(*[available[r] for r in spec.reads]), spec.rules, name)
+        counts = publish(table, spec.build(*[available[r] for r in spec.reads]), spec.rules, name, spec.hidden)
         if counts is not None:
             metrics[name] = counts
         available[name] = table.read()

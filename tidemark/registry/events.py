@@ -11,9 +11,10 @@ from tidemark.adapters import Tables
 from tidemark.operators import layers as g
 from tidemark.operators import quality as q
 from tidemark.plans.medallion import DATASETS, ingest_and_refresh, merge_new_batches, publish, run_order
+from tidemark.plans.additive import COUNTS, add_changes, contributors_of_days, daily_contributors
 from tidemark.registry.base import register, rounded
 from tidemark.registry.storage import iso_text
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, staged
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.bronze import ingest, known_fields, read_bronze
@@ -373,6 +374,58 @@ def _refreshed(t):
     return table.read()
 
 
+
+
+def _three_deliveries(t):
+    """Events in three overlapping deliveries, the first with other types and times an hour later; before and after of each."""
+    now = t.feed_events.withColumn("event_id", F.col("event_id").cast("string"))
+    draft = now.withColumn("event_type", F.lit("draft")).withColumn("created_at", F.col("created_at") + F.expr("interval 1 hour"))
+    part = F.pmod(F.hash("event_id"), F.lit(3))
+    state = None
+    for rows in (draft.filter(part < 2), now.filter(part > 0), now.filter(part < 2)):
+        if state is None:
+            yield rows.limit(0), rows
+            state = staged(rows, "events")
+            continue
+        keys = rows.select("event_id")
+        yield state.join(keys, "event_id", "left_semi"), rows
+        state = staged(state.join(keys, "event_id", "left_anti").unionByName(rows), "events")
+
+
+def _added(t, name):
+    folder = fresh_path(t.spark, "counts")
+    for run, (before, after) in enumerate(_three_deliveries(t)):
+        tables = add_changes(t.spark, folder, before, after, run, {name: COUNTS[name]}, fold_every=2)
+    return tables[name]
+
+
+register(
+    "j18_velocity_by_addition",
+    lambda t: _added(t, "repo_velocity"),
+    """select repo_name, count(*) as event_count, date_trunc('hour', created_at) as event_hour,
+              cast(date_trunc('hour', created_at) as date) as window_date
+       from feed_events group by all""",
+)
+register(
+    "j18_types_by_addition",
+    lambda t: _added(t, "event_type_breakdown"),
+    "select event_type, count(*) as event_count from feed_events group by 1",
+)
+
+
+def _sketched(t):
+    """Exact distinct contributors, and whether merged daily sketches come within a twentieth of them."""
+    daily = staged(daily_contributors(t.feed_events), "sketches")
+    near = F.abs(F.col("unique_contributors") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") / 20)
+    exact = g.user_stats(t.feed_events).withColumnRenamed("unique_contributors", "exact")
+    return exact.join(contributors_of_days(daily), "repo_name").select("repo_name", "exact", near.alias("near"))
+
+
+register(
+    "j11_contributors_by_sketch",
+    _sketched,
+    "select repo_name, count(distinct actor_login) as exact, true as near from feed_events where repo_name is not null group by 1",
+)
 register(
     "j18_materialized_refresh",
     _refreshed,

@@ -341,11 +341,8 @@ def _primary_keys(t):
 
 
 def _foreign_keys(t):
-    checks = [
-        q.foreign_key_check(getattr(t, child), column, getattr(t, parent), key, f"{child}.{column}")
-        for child, column, parent, key in FOREIGN_KEYS
-    ]
-    return reduce(lambda a, b: a.unionByName(b), checks)
+    constraints = [q.ForeignKey(*entry) for entry in FOREIGN_KEYS]
+    return q.foreign_keys_check({name: getattr(t, name) for c in constraints for name in (c.child, c.parent)}, constraints)
 
 
 register(
