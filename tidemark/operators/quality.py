@@ -164,28 +164,35 @@ def foreign_keys_check(tables: Mapping[str, DataFrame], constraints: Sequence[Fo
     """One row per constraint: rows whose key has no parent, and such keys. Null keys are allowed.
 
     Every child is read once for all its constraints, every parent once for
-    all its keys: each row is stacked to (constraint, key) pairs, which are
-    counted before they move, and one anti join against the stacked parent
-    keys finds the orphans. Keys are compared as text, so a child's column
-    and its parent's key must be of one type.
+    all its keys: each row is stacked to its keys, which are counted before
+    they move. Uses of a key and the key itself then meet in one grouping,
+    where a key without a parent is an orphan of the constraints that use
+    it. Keys are compared as text, so a child's column and its parent's key
+    must be of one type.
     """
-
-    def stacked(name: str, columns: Mapping[str, str]) -> DataFrame:
-        pairs = [F.struct(F.lit(label).alias("name"), F.col(column).cast("string").alias("key")) for label, column in columns.items()]
-        return tables[name].select(F.inline(F.array(*pairs))).where("key is not null")
-
     if not constraints:
         raise ValueError("no foreign keys to check")
-    children: dict[str, dict[str, str]] = {}
-    parents: dict[str, dict[str, str]] = {}
+
+    def stacked(table: str, entries: Sequence[tuple[str | None, str, str]]) -> DataFrame:
+        pairs = [
+            F.struct(F.lit(name).cast("string").alias("name"), F.lit(parent).alias("parent"), F.col(column).cast("string").alias("key"))
+            for name, parent, column in entries
+        ]
+        keys = tables[table].select(F.inline(F.array(*pairs))).where("key is not null")
+        return keys.groupBy("name", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
+
+    uses: dict[str, list] = {}
+    known: dict[str, set] = {}
     for c in constraints:
-        children.setdefault(c.child, {})[c.name] = c.column
-        parents.setdefault(c.parent, {})[f"{c.parent}.{c.key}"] = c.key
-    used = reduce(DataFrame.unionByName, [stacked(t, columns).groupBy("name", "key").agg(F.count(F.lit(1)).alias("n")) for t, columns in children.items()])
-    known = reduce(DataFrame.unionByName, [stacked(t, columns).distinct() for t, columns in parents.items()])
-    parent_of = F.create_map(*[F.lit(x) for c in constraints for x in (c.name, f"{c.parent}.{c.key}")])
-    known = known.withColumnsRenamed({"name": "_parent", "key": "_key"})
-    orphans = used.join(known, (parent_of[F.col("name")] == F.col("_parent")) & (F.col("key") == F.col("_key")), "left_anti")
+        uses.setdefault(c.child, []).append((c.name, f"{c.parent}.{c.key}", c.column))
+        known.setdefault(c.parent, set()).add((None, f"{c.parent}.{c.key}", c.key))
+    sides = [stacked(t, entries) for t, entries in uses.items()] + [stacked(t, sorted(entries, key=str)) for t, entries in known.items()]
+    # at most one use per constraint and key is gathered
+    met = reduce(DataFrame.unionByName, sides).groupBy("parent", "key").agg(
+        F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "n"))).alias("uses"),
+        F.max(F.col("name").isNull()).alias("is_known"),
+    )
+    orphans = met.where(~F.col("is_known")).select(F.inline("uses"))
     per_constraint = orphans.groupBy("name").agg(F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
     every = tables[constraints[0].child].sparkSession.createDataFrame([(c.name,) for c in constraints], "constraint_name string")
     zero = F.lit(0).cast("bigint")
