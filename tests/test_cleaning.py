@@ -81,7 +81,7 @@ def test_whole_job_through_files(spark, tmp_path):
         's1,"  A ""quoted""\ntitle ",Movie,,"September 9, 2019",90 min,"Comedy, Drama"\n'
         's1,again,Movie,X,,1 season,Drama\n'
     )
-    raw = files.load_data(spark, str(source))
+    raw = files.load_data(spark, str(source), multiline=True)
     raw = raw.withColumn("seq", F.when(F.col("Title") == "again", 2).otherwise(1))
     out = cl.clean_catalogue(raw, "show_id", ["seq"])
     paths = files.save_data(out, str(tmp_path / "out" / "titles.csv"))
@@ -89,10 +89,21 @@ def test_whole_job_through_files(spark, tmp_path):
     assert (row.title, row.director, row.duration_value, row.genres, row.is_movie) == (
         'A "quoted"\ntitle', "Unknown", 90, ["Comedy", "Drama"], True,
     )
-    assert files.load_data(spark, paths["csv"]).first().genres == '["Comedy","Drama"]'
+    assert files.load_data(spark, paths["csv"], multiline=True).first().genres == '["Comedy","Drama"]'
     assert files.read_json(spark, paths["json"]).first().genres == ["Comedy", "Drama"]
 
 
+def test_a_large_catalogue_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,text\n" + "".join(f'{k},"a, ""b"" {k}"\n' for k in range(60_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        split, whole = files.load_data(spark, str(tmp_path / "c.csv"), "id int, text string"), files.load_data(spark, str(tmp_path / "c.csv"), "id int, text string", multiline=True)
+        assert split.rdd.getNumPartitions() > 3 and whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 60_000 and split.exceptAll(whole).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_names_and_keys(spark):
     df = spark.createDataFrame(
         [("own/repo",), ("own/a/b",), ("noslash",), ("/x",), ("x/",), (None,)], "name string"

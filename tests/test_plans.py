@@ -36,7 +36,17 @@ def test_pruned_read_filters_partitions(t, tmp_path):
     df = tables.pruned_read(t.spark, "pruned_tips", F.col("day") == "N")
     assert "PartitionFilters: [isnotnull(day" in plan(df)
     # one file per partition value, not one per task and value
-    assert tables.table_detail(t.spark.table("pruned_tips"), "parquet").first().file_count == 3
+    place = tables.table_location(t.spark, "pruned_tips")
+    detail = tables.table_detail(t.spark, place)
+    assert (detail.first().file_count, detail.first().num_rows) == (3, t.tips.count())
+    assert detail.first().size_in_bytes == sum(f.stat().st_size for f in (tmp_path / "tips").rglob("*.parquet"))
+    assert "content" not in plan(detail)
+
+
+def test_column_profile_is_one_pass(t):
+    df = t.spark.createDataFrame([(1, None), (None, None)], "`a.b` int, c string")
+    assert [tuple(r) for r in tables.column_profile(df).collect()] == [(0, "a.b", "int", 1), (1, "c", "string", 0)]
+    assert plan(tables.column_profile(t.tips)).count("Scan parquet") == 1
 
 
 def test_not_exists_is_an_anti_join_on_distinct_keys(t):

@@ -77,6 +77,15 @@ ADAPTERS: dict[str, str] = {
         from region
         union all
         select max(r_regionkey) + 2 as shipper_id, 'Spare shipper' as company_name from region""",
+    "shop_customer_types": """
+        select distinct c_mktsegment as customer_type_id, concat('Customers in ', c_mktsegment) as customer_desc
+        from customer""",
+    "shop_customer_type_members": """
+        select c_custkey as customer_id, c_mktsegment as customer_type_id from customer""",
+    "shop_states": """
+        select n.n_nationkey as state_id, n.n_name as state_name, substr(n.n_name, 1, 2) as state_abbr,
+               r.r_name as state_region
+        from nation n join region r on n.n_regionkey = r.r_regionkey""",
     "tips": """
         select l_extendedprice as total_bill, l_extendedprice * l_tax as tip, l_returnflag as day,
                l_linestatus as time, l_linenumber as size, l_orderkey as order_key,

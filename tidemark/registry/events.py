@@ -592,6 +592,12 @@ register(
                round(count(followers) / count(*), 6) as user_coverage,
                round(count(primary_language) / count(*), 6) as language_coverage from {ENRICHED_SQL} x""",
 )
+register(
+    "k12_repeated_before_dedup",
+    lambda t: q.duplicate_keys(g.flat_events(bronze(t, "events")), ["event_id"]),
+    f"""select cast(event_id as varchar) as event_id, count(*) as occurrences from {DELIVERED_SQL} e
+        group by 1 having count(*) > 1""",
+)
 register(
     "k12_unique_after_dedup",
     lambda t: q.duplicate_keys(g.silver_events(bronze(t, "events")), ["event_id"]),

@@ -15,6 +15,7 @@ from tidemark.registry.base import register, rounded
 SCANNED = (
     "shop_categories", "shop_customers", "shop_employees", "shop_staff_territories", "shop_territories",
     "shop_regions", "shop_orders", "shop_lines", "shop_products", "shop_shippers", "shop_suppliers",
+    "shop_customer_types", "shop_customer_type_members", "shop_states",
 )
 
 for _table in SCANNED:

@@ -148,7 +148,7 @@ register(
 )
 register(
     "a15_table_detail",
-    lambda t: tables.table_detail(t.lineitem, "parquet").select("format", "file_count", "num_rows"),
+    lambda t: tables.table_detail(t.spark, f"{t.sf_dir}/lineitem.parquet").select("format", "file_count", "num_rows"),
     "select 'parquet' as format, cast(1 as bigint) as file_count, count(*) as num_rows from lineitem",
 )
 register(
@@ -167,6 +167,15 @@ register(
        select column_name, count(v) as count, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as stddev,
               round(min(v), 4) as min, round(max(v), 4) as max from x group by all""",
 )
+PROFILED = {"event_id": "bigint", "event_type": "string", "actor_login": "string", "repo_name": "string", "created_at_date": "date"}
+register(
+    "a18_schema",
+    lambda t: tables.column_profile(t.feed_events.select(*PROFILED)),
+    " union all ".join(
+        f"select cast({i} as integer) as position, '{name}' as column_name, '{kind}' as type, count({name}) as filled from feed_events"
+        for i, (name, kind) in enumerate(PROFILED.items())
+    ),
+)
 register(
     "a18_preview",
     lambda t: tables.table_limit(t.tips, 20, "total_bill", "order_key", "part_key"),

@@ -373,6 +373,12 @@ register(
     f"""select customer_id, count(*) as occurrences from {CUSTOMERS_SQL} d where is_current
         group by 1 having count(*) > 1""",
 )
+register(
+    "k10_partial_unique_broken",
+    lambda t: q.partial_unique_check(t.customer_history, "snapshot_date >= date'1997-01-01'", ["customer_id"]),
+    """select customer_id, count(*) as occurrences from customer_history where snapshot_date >= date '1997-01-01'
+       group by 1 having count(*) > 1""",
+)
 register(
     "k11_check_constraint",
     lambda t: q.check_constraint(

@@ -33,9 +33,15 @@ def read_csv(
     return reader.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
 
 
-def load_data(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Catalogue file: CSV with header, quotes and line breaks inside quotes."""
-    return read_csv(spark, path, schema, multiline=True)
+def load_data(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = False
+) -> DataFrame:
+    """Catalogue file: CSV with header and quotes.
+
+    A large file is read by many tasks. With ``multiline`` quotes may hold
+    line breaks, and a file is one task.
+    """
+    return read_csv(spark, path, schema, multiline)
 
 
 def read_json(
