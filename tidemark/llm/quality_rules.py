@@ -5,8 +5,11 @@ each other; Viterbi decoding finds the best sequence of labels for a whole docum
 its words stand on content lines and if two plain rules hold, on the number of words and on repeated word windows.
 
 The field is fitted by gradient ascent on its exact log-likelihood (forward-backward) on a bounded sample of labelled
-documents: lines of documents labelled good are content, except those seen before in the document, lines of other
-documents boilerplate. All documents are then decoded where they lie, without a shuffle.
+documents, whole texts. Only documents have labels, not lines: lines of documents labelled good count as content, except
+those seen before in the document, lines of other documents as boilerplate. A document would then never change its
+label, and the field would learn that labels never change. So it also reads mixed documents, lines of a good one
+between lines of a bad one, from which it learns how one label follows another and that a line's own features decide.
+All documents are then decoded where they lie, without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEATED = 10, 20
 REPEAT_WINDOW = 5
 CONTENT_SHARE = 0.5
-#: Labelled documents that the field is fitted on, and lines of each.
-SAMPLE_DOCUMENTS, SAMPLE_LINES = 2000, 120
+#: Labelled documents that the field is fitted on.
+SAMPLE_DOCUMENTS = 2000
+#: Lines of a sequence in the fit; longer documents are several sequences.
+SEQUENCE_LINES = 120
 UPPER, DIGITS, SPACE = bytes(range(65, 91)), bytes(range(48, 58)), b" \t\n\v\f\r"
 FEATURES = ("bias", "seen before", "symbols per word", "capitals", "digits", "pipes per word", "exclamations per word", "words repeat the one before", "few distinct words", "ends a sentence", "one or two words", "twelve or more words", "first line", "long words")
 
@@ -145,27 +150,48 @@ class Field:
         return cls(theta[:k], theta[k:].reshape(2, 2))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", documents: int = SAMPLE_DOCUMENTS, lines: int = SAMPLE_LINES) -> Field:
-    """Fit the field on at most ``documents`` labelled documents, chosen by the hash of their id, and the first
-    ``lines`` lines of each. Of labels that disagree the lower counts; null labels are left out."""
+def sequences(documents: list[tuple[np.ndarray, int]], lines: int = SEQUENCE_LINES, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of lines: all lines of all documents (features and label of each), in sequences of at most
+    ``lines``, and per sequence of a bad document a mixed one, lines of a good document put between its lines."""
+    pure = []
+    for x, label in documents:
+        y = np.where(x[:, 1] > 0, 0, int(label > 0))
+        pure += [(x[k : k + lines], y[k : k + lines], label > 0) for k in range(0, len(x), lines)]
+    good, bad = [p for p in pure if p[2]], [p for p in pure if not p[2]]
+    rng, mixed = np.random.default_rng(seed), []
+    first = FEATURES.index("first line")
+    for x, y, _ in bad if good else []:
+        other, labels, _ = good[rng.integers(len(good))]
+        begin, cut = rng.integers(len(other)), rng.integers(len(x) + 1)
+        end = begin + 1 + rng.integers(len(other) - begin)
+        rows = np.concatenate([x[:cut], other[begin:end], x[cut:]])
+        rows[:, first] = 0
+        rows[0, first] = 1
+        mixed.append((rows, np.concatenate([y[:cut], labels[begin:end], y[cut:]])))
+    return [(x, y) for x, y, _ in pure] + mixed
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", documents: int = SAMPLE_DOCUMENTS) -> Field:
+    """Fit the field on at most ``documents`` labelled documents of ``docs``, chosen by the hash of their id, whole texts.
+
+    Of labels that disagree the lower counts; null labels are left out. Of texts that share an id one counts, the same
+    in every run.
+    """
     prepare(docs.sparkSession)
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(documents)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
+    chosen = chosen.join(texts.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, own in slices(batches):
-            made = [line_features(t)[0][:lines].astype(np.float32).tobytes() for t in own]
+            made = [line_features(t)[0].astype(np.float32).tobytes() for t in own]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(made, pa.binary())], ["id", "label", "features"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = texts.join(chosen, "id").select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, features binary")
-    found = sorted((r.id, r.label, bytes(r.features)) for r in rows.dropDuplicates(["id"]).collect())  # bounded by documents x lines
-    out = []
-    for _, label, blob in found:
-        x = np.frombuffer(blob, np.float32).reshape(-1, len(FEATURES)).astype(np.float64)
-        out.append((x, np.where(x[:, 1] > 0, 0, int(label > 0))))
-    return Field.fit(out)
+    one = rows.groupBy("id").agg(F.min("label").alias("label"), F.min("features").alias("features"))
+    found = sorted((r.id, r.label, bytes(r.features)) for r in one.collect())  # bounded by documents
+    return Field.fit(sequences([(np.frombuffer(blob, np.float32).reshape(-1, len(FEATURES)).astype(np.float64), label) for _, label, blob in found]))
 
 
 def measure(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", share: float = CONTENT_SHARE) -> DataFrame:
