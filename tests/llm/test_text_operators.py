@@ -233,6 +233,40 @@ def test_quality_rules(spark, rows):
     assert quality_rules.measure(frame, quality_rules.train(frame, labels.limit(0))).where("kept").count() > 0
 
 
+def test_lines_of_mixed_documents(spark):
+    """Good sentences between menus are content, the menus are not; only whole documents have labels."""
+    rng = random.Random(9)
+    good, bad = labelled(rng, 60)
+    frame = docs(spark, [*((k, t) for k, t in enumerate(good)), *((100 + k, t) for k, t in enumerate(bad))])
+    labels = spark.createDataFrame([(k, 1) for k in range(50)] + [(100 + k, 0) for k in range(50)], "doc_id long, quality int")
+    field = quality_rules.train(frame, labels)
+    right = total = 0
+    for g, b in zip(good[50:], bad[50:], strict=True):
+        parts = [[line for line in t.split("\n") if line.split()] for t in (b, g, b)]
+        seen = set()
+        want = [k == 1 and not (line in seen or seen.add(line)) for k, lines in enumerate(parts) for line in lines]
+        got = field.decode(quality_rules.line_features("\n".join(line for lines in parts for line in lines).encode())[0])
+        right, total = right + sum(bool(x) == y for x, y in zip(got, want, strict=True)), total + len(want)
+    assert right >= 0.9 * total
+
+
+def test_fits_read_whole_texts_and_labels_of_these_documents(spark):
+    rng = random.Random(10)
+    good, bad = labelled(rng, 30)
+    prose_first = [g + "\n" * 2 + "\n".join(bad) for g in good]  # what is bad stands far behind
+    frame = docs(spark, [*((k, t) for k, t in enumerate(good)), *((100 + k, t) for k, t in enumerate(prose_first)), (0, "x")])
+    others = [(10_000 + k, 0) for k in range(500)]  # labels of documents that are not there
+    labels = spark.createDataFrame([(k, 1) for k in range(30)] + [(100 + k, 0) for k in range(30)] + others, "doc_id long, quality int")
+    for module in (quality_rules, quality_mil):
+        a, b = module.train(frame, labels, documents=60), module.train(frame.repartition(3), labels, documents=60)
+        values = lambda m: np.concatenate([np.ravel(v) for _, v in sorted(vars(m).items())])
+        assert np.allclose(values(a), values(b)) and np.abs(values(a)).sum() > 0
+    x = quality_rules.line_features("\n".join(f"line {k} of a text" for k in range(500)).encode())[0]
+    made = quality_rules.sequences([(x, 1), (x[:7], 0)])
+    assert [len(f) for f, _ in made[:6]] == [120, 120, 120, 120, 20, 7] and len(made) == 7
+    assert sum(y.sum() for _, y in made[:6]) == 500 and made[6][1].sum() >= 1
+
+
 def test_viterbi_is_the_best_labelling():
     rng = np.random.default_rng(1)
     for _ in range(50):

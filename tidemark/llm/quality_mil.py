@@ -23,8 +23,8 @@ from tidemark.llm.common import codes, prepare, slices
 PASSAGE_WORDS = 48
 HIDDEN, GATE = 16, 12
 PREDICT_FROM = 0.7
-#: Labelled documents that the network is fitted on, and passages of each.
-SAMPLE_DOCUMENTS, SAMPLE_PASSAGES = 3000, 24
+#: Labelled documents that the network is fitted on.
+SAMPLE_DOCUMENTS = 3000
 
 
 def _classes() -> tuple[np.ndarray, int]:
@@ -147,23 +147,25 @@ def remainder(id_col: str):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: int = 2, documents: int = SAMPLE_DOCUMENTS, passages: int = SAMPLE_PASSAGES) -> Network:
-    """Fit on at most ``documents`` labelled documents that are not held out, chosen by the hash of their id, and the
-    first ``passages`` passages of each. Of labels that disagree the lower counts; null labels are left out."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: int = 2, documents: int = SAMPLE_DOCUMENTS) -> Network:
+    """Fit on at most ``documents`` labelled documents of ``docs`` that are not held out, chosen by the hash of their id,
+    all passages of each. Of labels that disagree the lower counts; null labels are left out. Of texts that share an id
+    one counts, the same in every run."""
     prepare(docs.sparkSession)
-    chosen = labels.where(F.col(label_col).isNotNull() & (remainder(id_col) != held_out)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(documents)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    chosen = labels.where(F.col(label_col).isNotNull() & (remainder(id_col) != held_out)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
+    chosen = chosen.join(texts.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, own in slices(batches):
             x, bounds = encode(own)
-            made = [x[a : min(b, a + passages)].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+            made = [x[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(made, pa.binary())], ["id", "label", "features"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = texts.join(chosen, "id").select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, features binary")
-    found = sorted((r.id, r.label, bytes(r.features)) for r in rows.dropDuplicates(["id"]).collect())  # bounded by documents x passages
+    one = rows.groupBy("id").agg(F.min("label").alias("label"), F.min("features").alias("features"))
+    found = sorted((r.id, r.label, bytes(r.features)) for r in one.collect())  # bounded by documents
     bags = [np.frombuffer(f, np.float32).reshape(-1, WIDTH) for _, _, f in found]
     return Network.fit(bags, np.array([float(y > 0) for _, y, _ in found]))
 
