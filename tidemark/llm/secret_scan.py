@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,29 +41,70 @@ DROP = 8.0
 UNIFORM = 0.2
 #: Examples of the uniform distribution added after each character, so that few examples say little.
 PRIOR = 16
+#: Code points in a chunk of a text that is taken apart.
+CHUNK = 1024
 
 
 def _text(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sum, maximum and the like of an array, by doubling the reach: as many passes as the size has bits."""
+
+    def step(state: Column, k: Column) -> Column:
+        reach = F.call_function("shiftleft", F.lit(1), k)
+        further = lambda x, i: F.when(i >= reach, join(x, F.get(state, i - reach))).otherwise(x)
+        return F.when(F.size(state) > reach, F.transform(state, further)).otherwise(state)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(30)), values, step)
+
+
 def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """(start, end, kind) of a pattern's matches: the text between them, split out, tells where they lie."""
+    """(start, end, kind, match) of a pattern's matches: the text between them, split out, tells where they lie."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    both = F.arrays_zip(F.transform(gaps, lambda g: F.length(g)).alias("gap"), F.transform(matches, lambda m: F.length(m)).alias("size"), matches.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,kind:int,match:string>>)").alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["match"].alias("match"))
-        return F.struct(end.alias("at"), F.when(x["match"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(span))).alias("out"))
+    def placed(both: Column) -> Column:
+        found, gaps = both["matches"], F.slice(both["gaps"], 1, F.size(both["matches"]))
+        ends = running(F.zip_with(gaps, found, lambda g, m: F.length(g) + F.length(m)), lambda x, y: x + y)
+        return F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), F.lit(kind).alias("kind"), m.alias("match")))
 
-    found = F.aggregate(both, start, step, lambda s: s["out"])
+    found = F.get(F.transform(F.array(F.struct(matches.alias("matches"), F.split(text, pattern, -1).alias("gaps"))), placed), F.lit(0))
     return F.filter(found, keep) if keep is not None else found
 
 
+def rebuilt(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``put(length, apart)`` in place of what each span covers beyond those before it; ``apart`` is false
+    where it overlaps one of them.
+
+    The text is cut into chunks first, so that the place of a span is found without a walk from the text's start.
+    """
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def pieces(x: Column) -> Column:
+        spans, done = x["spans"], x["done"]
+        reached = lambda i: F.when(i > 0, F.get(done, i - 1)).otherwise(F.lit(0))
+
+        def between(a: Column, b: Column) -> Column:
+            first = (a / CHUNK).cast("int")
+            held = F.slice(x["chunks"], first + 1, (b / CHUNK).cast("int") - first + 1)
+            return F.when(b > a, F.substring(F.array_join(held, ""), a % CHUNK + 1, b - a)).otherwise("")
+
+        def piece(s: Column, i: Column) -> Column:
+            new = F.greatest(s["end"] - F.greatest(s["start"], reached(i)), F.lit(0))
+            apart = (i == 0) | (s["start"] >= reached(i))
+            return F.concat(between(reached(i), F.greatest(s["start"], reached(i))), put(new, apart))
+
+        return F.concat(F.array_join(F.transform(spans, piece), ""), between(F.get(done, F.size(done) - 1), F.length(text)))
+
+    # an array that a function reads many times is bound as a lambda's variable, or it is worked out each time
+    with_ends = lambda x: F.struct(x["spans"], x["chunks"], running(F.transform(x["spans"], lambda s: s["end"]), F.greatest).alias("done"))
+    work = F.transform(F.array(F.struct(ordered.alias("spans"), chunks.alias("chunks"))), with_ends)
+    new = F.get(F.transform(work, pieces), F.lit(0))
+    return F.when(F.size(spans) > 0, new).otherwise(text)
+
+
 def _none() -> Column:
     return F.expr("cast(array() as array<struct<start:int,end:int,kind:int,match:string>>)")
 
@@ -129,14 +171,7 @@ def score(run: Column, ratios: list[float]) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with spaces under the spans, so that all else keeps its place."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        begin, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.substring(text, state["at"] + 1, begin - state["at"]), F.repeat(F.lit(" "), end - begin)).alias("out"))
-
-    blank = F.aggregate(F.array_sort(spans), start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, blank).otherwise(text)
+    return rebuilt(text, spans, lambda n, apart: F.repeat(F.lit(" "), n))
 
 
 def _stretches(run: Column, ratios: list[float], threshold: float) -> Column:
@@ -209,13 +244,5 @@ def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]
     secrets = spare(docs, "secrets")
     found = find_secrets(docs, text_col, ratios, into=secrets)
     text, columns = F.col(text_col), docs.columns
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        inside = s["start"] < state["at"]
-        more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(placeholder))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(inside, state["out"]).otherwise(more).alias("out"))
-
-    clean = F.aggregate(secrets, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    changed = F.when(F.size(secrets) > 0, clean).otherwise(text)
+    changed = rebuilt(text, F.col(secrets), lambda n, apart: F.when(apart, F.lit(placeholder)).otherwise(""))
     return found.withColumn(text_col, changed).select(*[F.col(f"`{c}`") for c in columns])
