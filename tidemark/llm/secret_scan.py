@@ -1,11 +1,12 @@
 """Secrets in texts by patterns and by character Markov models; DataFrame functions only.
 
-Three patterns name secrets outright. Two first-order Markov models over characters find more: one of random strings,
-fitted on what the patterns found, and one of ordinary identifiers, fitted on other runs of the same characters. A run
-whose mean log-likelihood ratio per transition is high enough is a secret as well, whatever stands before it. Runs are
-cut at what the patterns found; in a run that is not random as a whole, stretches of its parts between separators are.
+Three patterns name secrets outright. First-order Markov models over characters find more: models of random strings, one
+for each of the usual alphabets, fitted on labelled strings drawn from them, and one of ordinary identifiers, fitted on
+the runs of such characters in all documents. A run whose mean log-likelihood ratio per transition reaches the threshold
+of its alphabet, which held-out labelled strings give, is a secret as well, whatever stands before it. Runs are cut at
+what the patterns found; in a run that is not random as a whole, stretches of its parts between separators are.
 
-The tables of the models have one entry per pair of character classes, whatever the size of the data, and enter the
+The tables of the models have one entry per pair of characters, whatever the size of the data, and enter the
 plan as a literal. Texts are never shuffled, and only those that hold a run worth scoring are taken apart.
 """
 
@@ -13,10 +14,12 @@ from __future__ import annotations
 
 import json
 import math
+from collections import Counter
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import spare
@@ -33,7 +36,26 @@ PART = "[A-Za-z0-9+]+"
 IDENTIFIER = "[A-Za-z0-9+/_=-]{8,}"
 #: Characters of the models; others do not occur in runs.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Bits per transition from which a run counts as random.
+#: Kinds of random strings: their characters, and the runs that are taken for that kind, the first that fits. Runs without
+#: a letter are numbers, dates and rules, and never random.
+SORTS = (
+    ("number", "0123456789", "[^A-Za-z]+"),
+    ("hex", "0123456789abcdef", "[0-9a-f]+"),
+    ("upper hex", "0123456789ABCDEF", "[0-9A-F]+"),
+    ("uuid", "0123456789abcdef-", "[0-9a-f-]+"),
+    ("lower", "abcdefghijklmnopqrstuvwxyz", "[a-z]+"),
+    ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "[A-Z]+"),
+    ("lower 36", "abcdefghijklmnopqrstuvwxyz0123456789", "[a-z0-9]+"),
+    ("upper 36", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "[A-Z0-9]+"),
+    ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "[A-Za-z0-9]+"),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=", "[A-Za-z0-9+/=]+"),
+    ("any", ALPHABET, ".*"),
+)
+#: Labelled random strings that are drawn of each sort, and their sizes; one in four is held out for the threshold.
+DRAWN, DRAWN_CHARS = 2000, (16, 40)
+#: Share of the held-out random strings that may stay below the threshold.
+MISSED = 0.02
+#: Bits per transition from which a run counts as random, for a single table of ratios.
 THRESHOLD = 1.0
 #: Bits below its best end, over the threshold, at which a stretch of parts is closed and the next begins.
 DROP = 8.0
@@ -155,17 +177,87 @@ def train(docs: DataFrame, text_col: str = "text") -> list[float]:
     return [math.log2(chance(1, a, b) / chance(0, a, b)) for a in ALPHABET for b in ALPHABET]
 
 
-def total(run: Column, ratios: list[float]) -> Column:
-    """Sum of the log-likelihood ratios of a run's transitions."""
-    table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    n = len(ALPHABET)
-    numbers = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    pairs = F.zip_with(F.slice(numbers, 1, F.length(run) - 1), F.slice(numbers, 2, F.length(run) - 1), lambda a, b: F.get(table, a * n + b))
-    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
+@dataclass(frozen=True)
+class Models:
+    """Log-likelihood ratios over the threshold, a table for every sort of random string; a run is random from 0 on."""
 
+    tables: tuple[tuple[float, ...], ...]
+    thresholds: tuple[float, ...]
 
-def score(run: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio per transition of a run."""
+
+def drawn(spark: SparkSession, count: int = DRAWN) -> DataFrame:
+    """(sort, held, run): labelled random strings of every sort but numbers, the same at every call."""
+    low, high = DRAWN_CHARS
+    sorts = F.array(*[F.struct(F.lit(k).alias("sort"), F.lit(chars).alias("chars")) for k, (_, chars, _) in enumerate(SORTS) if k])
+    rows = spark.range(count).select("id", F.explode(sorts).alias("s")).select("id", "s.*")
+    draw = lambda i: F.substring("chars", F.pmod(F.xxhash64("id", "sort", i), F.length("chars")).cast("int") + 1, 1)
+    size = F.pmod(F.xxhash64("id", "sort"), F.lit(high - low + 1)).cast("int") + low
+    return rows.select("sort", (F.col("id") % 4 == 0).alias("held"), F.array_join(F.transform(F.sequence(F.lit(1), size), draw), "").alias("run"))
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> Models:
+    """Models of random strings and of ordinary identifiers, and the thresholds between them.
+
+    Labelled samples: random strings drawn of the usual alphabets, one model for each; as ordinary identifiers all
+    distinct runs of all documents outside the patterns' matches, in their own letters and in capitals. The threshold of
+    a sort is what all but MISSED of the held-out random strings of that sort reach, and never below 0, from where a
+    random string is the likelier. Documents without a run give a uniform model of identifiers.
+    """
+    texts = docs.select(_text(text_col).alias("text"))
+    blank = reduce(lambda t, p: F.regexp_replace(t, p, " "), (ASSIGN, ACCESS, HEX), F.col("text"))
+    runs = texts.select(F.explode(F.regexp_extract_all(blank, F.lit(IDENTIFIER), F.lit(0))).alias("run")).distinct().withColumn("n", F.lit(1))
+    plain: Counter = Counter()
+    for r in _transitions(runs, "n").collect():  # at most one row per pair of characters
+        plain[r["pair"]] += r["n"]
+        plain[r["pair"].upper()] += r["n"]
+    after = Counter()
+    for pair, n in plain.items():
+        after[pair[0]] += n
+    strings = drawn(docs.sparkSession).collect()  # DRAWN of each sort
+
+    def chance(counts: Counter, sums: Counter, pair: str, size: int) -> float:
+        own = (counts[pair] + PRIOR / size) / (sums[pair[0]] + PRIOR)
+        return (1 - UNIFORM) * own + UNIFORM / size
+
+    tables, thresholds = [(-1.0,) * len(SORTS[0][1]) ** 2], [0.0]
+    for k, (_, chars, _) in enumerate(SORTS[1:], 1):
+        pairs = Counter(p for r in strings if r["sort"] == k and not r["held"] for p in map("".join, zip(r["run"], r["run"][1:], strict=False)))
+        sums = Counter()
+        for pair, n in pairs.items():
+            sums[pair[0]] += n
+        ratio = {a + b: math.log2(chance(pairs, sums, a + b, len(chars)) / chance(plain, after, a + b, len(ALPHABET))) for a in chars for b in chars}
+        means = sorted(sum(ratio[a + b] for a, b in zip(r["run"], r["run"][1:], strict=False)) / (len(r["run"]) - 1) for r in strings if r["sort"] == k and r["held"])
+        thresholds.append(max(0.0, means[int(MISSED * len(means))]))
+        tables.append(tuple(round(ratio[a + b] - thresholds[k], 4) for a in chars for b in chars))
+    return Models(tuple(tables), tuple(thresholds))
+
+
+Ratios = list[float] | Models
+
+
+def total(run: Column, ratios: Ratios, sort: int | None = None) -> Column:
+    """Sum of the log-likelihood ratios of a run's transitions, of its own sort unless ``sort`` is given."""
+    if isinstance(ratios, Models):
+        rows = [{"chars": chars, "ratios": x} for (_, chars, _), x in zip(SORTS, ratios.tables, strict=True)]
+        own = reduce(lambda c, k: F.when(run.rlike(f"^{SORTS[k][2]}$"), F.lit(k)).otherwise(c), reversed(range(len(SORTS) - 1)), F.lit(len(SORTS) - 1))
+    else:
+        rows, own = [{"chars": ALPHABET, "ratios": ratios}], F.lit(0)
+    models = F.from_json(F.lit(json.dumps(rows)), "array<struct<chars:string,ratios:array<double>>>")
+
+    def summed(m: Column) -> Column:
+        numbers = F.transform(F.split(run, ""), lambda c: F.greatest(F.instr(m["chars"], c) - 1, F.lit(0)))
+
+        def over(numbers: Column) -> Column:
+            pairs = F.zip_with(F.slice(numbers, 1, F.length(run) - 1), F.slice(numbers, 2, F.length(run) - 1), lambda a, b: F.get(m["ratios"], a * F.length(m["chars"]) + b))
+            return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
+
+        return F.get(F.transform(F.array(numbers), over), F.lit(0))
+
+    return F.get(F.transform(F.array(F.get(models, own if sort is None else F.lit(sort))), summed), F.lit(0))
+
+
+def score(run: Column, ratios: Ratios) -> Column:
+    """Mean log-likelihood ratio per transition of a run; of fitted models, over the threshold."""
     return total(run, ratios) / (F.length(run) - 1)
 
 
@@ -174,32 +266,39 @@ def masked(text: Column, spans: Column) -> Column:
     return rebuilt(text, spans, lambda n, apart: F.repeat(F.lit(" "), n))
 
 
-def _stretches(run: Column, ratios: list[float], threshold: float) -> Column:
+def _stretches(run: Column, ratios: Ratios, threshold: float) -> Column:
     """Spans of consecutive parts of a run whose ratios add up to most over the threshold, from left to right.
 
     A part goes on with the stretch before it while their sum stays above zero and near its best; a stretch ends at its
     best part. A part that is random and long enough by itself always lies in one.
     """
-    over = lambda x: total(x, ratios) - threshold * (F.length(x) - 1)
-    parts = F.transform(_spans(run["match"], PART, 3), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), over(p["match"]).alias("own")))
+    sort = len(SORTS) - 1 if isinstance(ratios, Models) else 0
+    over = lambda x, sort=None: total(x, ratios, sort) - threshold * (F.length(x) - 1)
+
+    def scored(x: Column) -> Column:
+        part = lambda p, i: F.struct(p["start"].alias("start"), p["end"].alias("end"), over(p["match"]).alias("own"), over(link(p, i), sort).alias("link"))
+        link = lambda p, i: F.when(i > 0, F.concat(F.right(F.get(x["spans"], i - 1)["match"], F.lit(1)), F.get(x["gaps"], i), F.left(p["match"], F.lit(1)))).otherwise(F.left(p["match"], F.lit(1)))
+        return F.transform(x["spans"], part)
+
+    both = F.struct(_spans(run["match"], PART, 3).alias("spans"), F.split(run["match"], PART, -1).alias("gaps"))
+    parts = F.get(F.transform(F.array(both), scored), F.lit(0))
     none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
-    first = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("stop"), F.lit(0).alias("last"), F.lit(-1.0).alias("sum"), F.lit(-1.0).alias("peak"), none.alias("out"))
+    first = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("stop"), F.lit(-1.0).alias("sum"), F.lit(-1.0).alias("peak"), none.alias("out"))
 
     def closed(s: Column) -> Column:
         found = F.array(F.struct(s["begin"].alias("start"), s["stop"].alias("end")))
         return F.when((s["peak"] >= 0) & (s["stop"] - s["begin"] >= RUN_CHARS), F.concat(s["out"], found)).otherwise(s["out"])
 
     def step(s: Column, p: Column) -> Column:
-        link = over(F.substring(run["match"], s["last"], p["start"] - s["last"] + 2))
-        carried = F.when(s["sum"] < 0, F.lit(-1.0)).otherwise(s["sum"] + link)
+        carried = F.when(s["sum"] < 0, F.lit(-1.0)).otherwise(s["sum"] + p["link"])
         joined = F.struct(carried.alias("carried"), (carried + p["own"]).alias("sum"))
 
         def after(j: Column) -> Column:
             long = (p["own"] >= 0) & (p["end"] - p["start"] >= RUN_CHARS) & (j["sum"] < s["peak"])
             fresh = (j["carried"] < 0) | (j["sum"] < s["peak"] - DROP) | long
-            new = F.struct(p["start"].alias("begin"), p["end"].alias("stop"), p["end"].alias("last"), p["own"].alias("sum"), p["own"].alias("peak"), closed(s).alias("out"))
+            new = F.struct(p["start"].alias("begin"), p["end"].alias("stop"), p["own"].alias("sum"), p["own"].alias("peak"), closed(s).alias("out"))
             best = j["sum"] >= s["peak"]
-            more = F.struct(s["begin"].alias("begin"), F.when(best, p["end"]).otherwise(s["stop"]).alias("stop"), p["end"].alias("last"), j["sum"].alias("sum"), F.greatest(j["sum"], s["peak"]).alias("peak"), s["out"].alias("out"))
+            more = F.struct(s["begin"].alias("begin"), F.when(best, p["end"]).otherwise(s["stop"]).alias("stop"), j["sum"].alias("sum"), F.greatest(j["sum"], s["peak"]).alias("peak"), s["out"].alias("out"))
             return F.when(fresh, new).otherwise(more)
 
         return F.get(F.transform(F.array(joined), after), F.lit(0))
@@ -208,21 +307,23 @@ def _stretches(run: Column, ratios: list[float], threshold: float) -> Column:
     return F.transform(found, lambda x: F.struct((run["start"] + x["start"]).alias("start"), (run["start"] + x["end"]).alias("end"), F.lit(3).alias("kind"), F.substring(run["match"], x["start"] + 1, x["end"] - x["start"]).alias("match")))
 
 
-def markov_spans(text: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
+def markov_spans(text: Column, ratios: Ratios, threshold: float = THRESHOLD) -> Column:
     random = lambda s: F.when(score(s["match"], ratios) >= threshold, F.array(s)).otherwise(_stretches(s, ratios, threshold))
     return F.when(text.rlike(RUN), F.flatten(F.transform(_spans(text, RUN, 3), random))).otherwise(_none())
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", ratios: list[float] | None = None, threshold: float = THRESHOLD, into: str = "secrets") -> DataFrame:
+def find_secrets(docs: DataFrame, text_col: str = "text", ratios: Ratios | None = None, threshold: float = THRESHOLD, into: str = "secrets") -> DataFrame:
     """Add the column ``into``: array of (start, end, kind), by start, then kind in the order of KINDS.
 
     Offsets are code points, the end exclusive. Runs are cut at the patterns' matches, and what is left of them is
-    scored. Models are fitted on ``docs`` unless ``ratios`` is given.
+    scored. Models are fitted on ``docs`` unless ``ratios`` is given: fitted models, which hold their thresholds, or
+    one table of ratios, which ``threshold`` goes with.
 
     A null or empty text has no secrets. Repeated rows each get theirs. A column already named ``into`` is
     replaced; all others are kept as they are. No documents give no rows.
     """
-    ratios = train(docs, text_col) if ratios is None else ratios
+    ratios = fit(docs, text_col) if ratios is None else ratios
+    threshold = 0.0 if isinstance(ratios, Models) else threshold
     text = _text(text_col)
     base, rest, more = spare(docs, "_base"), spare(docs, "_rest"), spare(docs, "_more")
     work = docs.withColumn(base, base_spans(text)).withColumn(rest, masked(text, F.col(base))).withColumn(more, markov_spans(F.col(rest), ratios, threshold))
@@ -236,7 +337,7 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]", ratios: list[float] | None = None) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", placeholder: str = "[SECRET]", ratios: Ratios | None = None) -> DataFrame:
     """Replace every secret in the texts by ``placeholder``; all rows and columns stay.
 
     Overlapping spans are replaced together. A null text stays null. See find_secrets for the other cases.
