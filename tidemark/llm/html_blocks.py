@@ -8,7 +8,9 @@ the light of the whole page. The text of the main blocks, in page order, is the
 There are no labelled pages, so the network learns from weak labels: what stands in a navigation, footer, advert and so
 on of a bounded sample of the pages is not main text, the body of the article is. Blocks in further kinds of containers
 (comments, notices, sidebars, forms) are mixed in under names from a fixed list, with text of the page's own, so that
-the network has to go by the containers and by the company of a block. Pages are labelled where they lie, a slice at a
+the network has to go by the containers and by the company of a block. Some copies have their main text in containers
+without a name or with one that says nothing, next to bars of links in such containers, so that a page without telling
+names is judged by its texts and links. Pages are labelled where they lie, a slice at a
 time, without a shuffle.
 """
 
@@ -25,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import codes, prepare, slices
+from tidemark.llm.common import codes, prepare, slices, spare
 
-TAG_BITS, CLASS_BITS, WORD_BITS, NUMBERS = 128, 192, 24, 6
+TAG_BITS, CLASS_BITS, WORD_BITS, NUMBERS = 128, 384, 24, 6
 WIDTH = TAG_BITS + CLASS_BITS + WORD_BITS + NUMBERS
 HIDDEN = 20
 #: Pages that the network is fitted on, the longest page among them in characters, and mixed copies of each page.
-SAMPLE_PAGES, SAMPLE_CHARS, COPIES = 240, 60_000, 5
+SAMPLE_PAGES, SAMPLE_CHARS, COPIES = 240, 60_000, 6
 #: Block vectors held at a time when pages are labelled.
 CELLS = 1 << 16
 
@@ -354,12 +356,19 @@ def weak_label(block: Block) -> bool:
     return len(block.text.split()) >= 8 and block.linked < len(block.text) / 2
 
 
+def made_up(rng: np.random.Generator) -> str:
+    """A name that says nothing of its container."""
+    return "".join("bcdfgklmnprstvwxz"[int(rng.integers(17))] + "aeiou"[int(rng.integers(5))] for _ in range(int(rng.integers(1, 4))))
+
+
 def mixed(blocks: list[Block], labels: list[bool], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
     """A copy of a page with other containers: around its article, and groups of blocks of other kinds put in."""
     texts = [b.text for b, y in zip(blocks, labels, strict=True) if y] or [b.text for b in blocks] or ["text"]
     pick = lambda x: x[int(rng.integers(len(x)))]
     styles = (("article",), ("main",), ("main", "article"), (f"div.{pick(MAIN_NAMES)}", "article"), (f"div.{pick(MAIN_NAMES)}.{pick(MAIN_NAMES)}",), ("article", f"div.{pick(MAIN_NAMES)}"), ("main", f"section.{pick(MAIN_NAMES)}"))
     around = pick(styles)
+    if rng.random() < 0.4:
+        around = pick(((), ("div",), ("div", "div"), ("section",), ("table", "tr", "td"), (f"div.{made_up(rng)}",), (f"div.{made_up(rng)}", f"div.{made_up(rng)}")))
     out: list[tuple[Block, bool]] = []
     for b, y in zip(blocks, labels, strict=True):
         path = b.path
@@ -377,6 +386,15 @@ def mixed(blocks: list[Block], labels: list[bool], rng: np.random.Generator) ->
         inner = pick((("p",), ("p",), ("div",), ("li",), (), ("h3",), ("div", "p"), ("label",)))
         at = int(rng.integers(len(out) + 1)) if rng.random() < 0.4 else pick((own[0], own[-1] + 1, len(out)))
         group = []
+        if rng.random() < 0.4:  # a bar of links that no name gives away
+            box = pick(((), ("div",), ("ul", "li"), ("div", "ul", "li"), ("p",), (f"div.{made_up(rng)}",)))
+            for _ in range(int(rng.integers(2, 9))):
+                text = " ".join(pick(texts).split()[: int(rng.integers(1, 6))])
+                group.append((Block((*outside[:2], *box), text, len(text)), False))
+            at = pick((own[0], own[-1] + 1))
+            out[at:at] = group
+            own = [k for k, (_, y) in enumerate(out) if y] or [0]
+            continue
         for _ in range(int(rng.integers(1, 7))):
             text = pick(texts)
             if rng.random() < 0.5:
@@ -420,20 +438,25 @@ def extract(pages: DataFrame, labeller: Labeller, id_col: str = "page_id", html_
     Character references are decoded, and white space within a block becomes one space. Null and empty pages, and
     pages without a main block, have an empty text. Broken or cut-off markup is read as far as it goes. Very long pages
     are read whole. Repeated rows each get a row, null ids are passed on. No pages give no rows. Columns in ``keep``
-    are passed on, others are not looked at.
+    are passed on under their names, others are not looked at; an own column whose name is kept gets underscores behind.
     """
     prepare(pages.sparkSession)
-    kinds = {"id": pages.schema[id_col].dataType.simpleString(), **{c: pages.schema[c].dataType.simpleString() for c in keep}}
+    taken = pages.select(*[F.col(f"`{c}`") for c in keep])
+    names = [spare(taken, "id"), *keep, *[spare(taken, x) for x in ("text", "n_blocks", "n_main")]]
+    passed = [f"c{k}" for k in range(len(keep) + 1)]  # plain names on the way, whatever the columns are called
+    kinds = [pages.schema[c].dataType.simpleString() for c in (id_col, *keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder()
-        for batch, raw in slices(batches, "_html"):
+        for batch, raw in slices(batches, "html"):
             found = [blocks_of(x.decode("utf-8", "replace")) for x in raw]
             labels = labeller.label(found, encode)
             main = [[b.text for b, y in zip(x, p, strict=True) if y >= 0.5] for x, p in zip(found, labels, strict=True)]
-            arrays = [batch.column(c) for c in kinds]
+            arrays = [batch.column(c) for c in passed]
             arrays += [pa.array(["\n".join(x) for x in main], pa.string()), pa.array([len(x) for x in found], pa.int64()), pa.array([len(x) for x in main], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*kinds, "text", "n_blocks", "n_main"])
+            yield pa.RecordBatch.from_arrays(arrays, [*passed, "text", "n_blocks", "n_main"])
 
-    rows = pages.select(F.col(id_col).alias("id"), *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("_html"))
-    return rows.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", text string, n_blocks long, n_main long")
+    columns = [F.col(f"`{c}`").alias(p) for c, p in zip((id_col, *keep), passed, strict=True)]
+    rows = pages.select(*columns, F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
+    schema = ", ".join(f"{p} {k}" for p, k in zip(passed, kinds, strict=True)) + ", text string, n_blocks long, n_main long"
+    return rows.mapInArrow(run, schema).toDF(*names)
