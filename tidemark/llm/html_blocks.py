@@ -365,7 +365,7 @@ def mixed(blocks: list[Block], labels: list[bool], rng: np.random.Generator) ->
     """A copy of a page with other containers: around its article, and groups of blocks of other kinds put in."""
     texts = [b.text for b, y in zip(blocks, labels, strict=True) if y] or [b.text for b in blocks] or ["text"]
     pick = lambda x: x[int(rng.integers(len(x)))]
-    styles = (("article",), ("main",), ("main", "article"), (f"div.{pick(MAIN_NAMES)}", "article"), (f"div.{pick(MAIN_NAMES)}.{pick(MAIN_NAMES)}",), ("article", f"div.{pick(MAIN_NAMES)}"), ("main", f"section.{pick(MAIN_NAMES)}"))
+    styles = (("article",), ("main",), ("main", "article"), (f"div.{pick(MAIN_NAMES)}", "article"), (f"div.{pick(MAIN_NAMES)}.{pick(MAIN_NAMES)}",), (f"div.{pick(MAIN_NAMES)}.{pick(MAIN_NAMES)}",), (f"div.{pick(MAIN_NAMES)}",), (f"section.{pick(MAIN_NAMES)}.{pick(MAIN_NAMES)}",), ("article", f"div.{pick(MAIN_NAMES)}"), ("main", f"section.{pick(MAIN_NAMES)}"))
     around = pick(styles)
     if rng.random() < 0.4:
         around = pick(((), ("div",), ("div", "div"), ("section",), ("table", "tr", "td"), (f"div.{made_up(rng)}",), (f"div.{made_up(rng)}", f"div.{made_up(rng)}")))
