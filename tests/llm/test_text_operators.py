@@ -563,6 +563,32 @@ def test_trie_join_finds_all_pairs():
     assert np.array_equal(links.flat(), label)
 
 
+@pytest.mark.parametrize("limit", [40, 1 << 18])
+def test_links_of_divided_groups(spark, limit):
+    """Crowded groups are divided again and again; nothing is lost, nothing false is added."""
+    rng = np.random.default_rng(7)
+    centre = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (6, 60, 4), dtype=np.uint64)
+    low = centre[0] ^ rng.integers(0, 1 << 12, 300, dtype=np.uint64)  # 52 bits in common
+    fps = np.unique(np.concatenate([centre, low, (centre[:, None] ^ np.bitwise_or.reduce(flips, axis=2)).ravel(), rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    distinct = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    edges = simhash_trie.linked(distinct, len(fps), limit=limit).collect()
+    at = {int(x): i for i, x in enumerate(fps.view(np.int64))}
+    label = np.arange(len(fps))
+    while not np.array_equal(new := np.where(near, label, len(fps)).min(axis=1), label):
+        label = new
+    links = simhash_trie.Links(len(fps))
+    links.add(*(np.array([at[e[k]] for e in edges]) for k in (0, 1)))
+    assert np.array_equal(links.flat(), label)
+    copies = simhash_trie.grouped_by_parts(distinct, len(fps), 3, limit)
+    if limit > len(fps):
+        assert copies.count() == 4 * len(fps)
+    else:
+        sizes = copies.groupBy("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value")).agg(F.countDistinct("fp").alias("n")).collect()
+        assert max(r.n for r in sizes) <= max(limit, 256)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7)] + [(200, k) for k in range(201, 260)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -4,15 +4,17 @@ Fingerprints of 64 bits come from word shingles. Their trie is not stored: a sor
 node being a range of it. The join walks pairs of nodes from the top, one bit at a time, adds up the bits in which the
 two paths differ and drops a pair as soon as the sum exceeds the budget.
 
-The top of the trie is spread over the cluster: the first ``top`` bits name a subtree, and each pair of subtrees whose
-names differ in few enough bits is one task's work. Within a task, pairs of nodes are held in blocks of bounded size.
-A task keeps a union-find over its fingerprints and returns one edge for each fingerprint it could link, not all
-links; equal fingerprints meet as one row before the join. The components over all tasks are found by joins.
+The join is spread over the cluster by bits that agree: with a budget of three, of four parts of a fingerprint at least
+one is equal on both sides of a link. Each fingerprint goes to four groups, one for each part and its value, and each
+group is a trie joined with itself. The number of copies does not grow with the data. A group that is too large for
+a task is divided the same way by the bits that are still open, so only its own fingerprints are copied again. A task
+takes many groups at once; pairs of nodes are held in blocks of bounded size. It keeps a union-find over its
+fingerprints and returns one edge for each fingerprint it could link, not all links; equal fingerprints meet as one
+row before the join. The components over all tasks are found by joins.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,10 @@ from tidemark.session import staged
 BITS = 64
 SHINGLE_WORDS = 3
 SEED = 42
-#: Fingerprints below one subtree of the spread top, on average.
-SUBTREE = 1 << 17
+#: Fingerprints of one group beyond which it is divided again.
+GROUP_LIMIT = 1 << 18
+#: Copies of fingerprints that a task takes, on average.
+TASK_ROWS = 1 << 20
 #: Pairs of nodes a task expands at a time.
 BLOCK = 1 << 20
 
@@ -105,18 +109,20 @@ class Links:
             np.minimum.at(self.root, hi, lo)
 
 
-def trie_join(left: np.ndarray, right: np.ndarray | None, depth: int, budget: int, spent: int, links: Links, offset: int) -> None:
+def trie_join(left: np.ndarray, right: np.ndarray | None, depth: int, budget: int, spent: int, links: Links, offset: int, nodes: tuple[np.ndarray, np.ndarray] | None = None) -> None:
     """Walk two subtries together and link what lies within the budget.
 
     ``left`` and ``right`` are sorted and distinct, each below one node of ``depth`` bits whose paths differ in
     ``spent`` bits. With ``right`` None the subtrie is joined with itself. ``offset`` is where right's positions begin.
+    ``nodes`` gives the ranges of ``left`` that are such subtries, each joined with itself only.
     """
     own = right is None
     right = left if own else right
     if not len(left) or not len(right):
         return
+    lo, hi = nodes if nodes is not None else (np.array([0]), np.array([len(left)]))
     # a node is a range [lo, hi) of its array; a block holds pairs of nodes of one depth
-    blocks = [(depth, *(np.array([x]) for x in (0, len(left), 0, len(right), spent)))]
+    blocks = [(depth, lo[i : i + BLOCK], hi[i : i + BLOCK], *((lo[i : i + BLOCK], hi[i : i + BLOCK]) if own else (np.array([0]), np.array([len(right)]))), np.full(len(lo[i : i + BLOCK]), spent)) for i in range(0, len(lo), BLOCK)]
     while blocks:
         level, a0, a1, b0, b1, diff = blocks.pop()
         if level == BITS:
@@ -148,41 +154,81 @@ def middle(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) ->
         lo[open_[~has]] = mid[~has] + 1
 
 
-def join_pair(fps: np.ndarray, low: int, high: int, top: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between fingerprints below the nodes ``low`` and ``high`` of ``top`` bits, one for each linked one."""
-    fps = np.unique(fps)
-    node = (fps >> np.uint64(BITS - top)).astype(np.int64)
+def join_groups(masks: np.ndarray, fps: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges between fingerprints that agree in the bits of one mask, one for each linked one."""
+    value = fps & masks
+    order = np.lexsort((fps, value, masks))
+    masks, value, fps = masks[order], value[order], fps[order]
+    new = np.concatenate([[True], (masks[1:] != masks[:-1]) | (value[1:] != value[:-1])])[: len(fps)]
+    stay = new | np.concatenate([[True], fps[1:] != fps[:-1]])[: len(fps)]
+    fps, new = fps[stay], new[stay]
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(fps))
+    some = ends - starts > 1
     links = Links(len(fps))
-    left = fps[node == low]
-    if low == high:
-        trie_join(left, None, top, budget, 0, links, 0)
-    else:
-        trie_join(left, fps[node == high], top, budget, (low ^ high).bit_count(), links, len(left))
+    trie_join(fps, None, 0, budget, 0, links, 0, (starts[some], ends[some]))
     root = links.flat()
     own = np.flatnonzero(root != np.arange(len(fps)))
     return fps[own], fps[root[own]]
 
 
-def linked(distinct: DataFrame, n: int, budget: int = 3, top: int | None = None) -> DataFrame:
+def divided(mask: int, parts: int) -> list[int]:
+    """``mask`` with one of ``parts`` parts of its open bits added, each in turn."""
+    bits = [b for b in range(BITS) if not mask >> b & 1]
+    edges = [len(bits) * k // parts for k in range(parts + 1)]
+    return [mask | sum(1 << b for b in bits[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+
+
+def signed(number: int) -> int:
+    return number - (1 << BITS) if number >> (BITS - 1) else number
+
+
+def grouped_by_parts(distinct: DataFrame, n: int, budget: int, limit: int) -> DataFrame:
+    """(fp, mask): the groups of each fingerprint, a group being a mask and the bits under it.
+
+    Two fingerprints within the budget share at least one group. Groups above ``limit`` are divided by their open
+    bits until none is left, or so few bits are open that the group cannot be large.
+    """
+    parts = budget + 1
+
+    def copied(rows: DataFrame, masks: list[int]) -> DataFrame:
+        children = F.create_map(*[F.lit(x) for m in masks for x in (signed(m), [signed(c) for c in divided(m, parts)])])
+        return rows.select("fp", F.explode(F.element_at(children, F.col("mask"))).alias("mask"))
+
+    masks = [0]
+    rows = copied(distinct.select("fp", F.lit(0).cast("long").alias("mask")), masks)
+    masks = divided(0, parts)
+    settled = None
+    while n > limit and (open_ := sorted({m for m in masks if BITS - m.bit_count() > 2 * parts})):
+        sizes = rows.where(F.col("mask").isin([signed(m) for m in open_])).groupBy("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value")).count()
+        hot = staged(sizes.where(F.col("count") > limit).select(F.col("mask").alias("hot_mask"), "value"), "hot-groups")
+        if hot.isEmpty():
+            break
+        same = (F.col("mask") == F.col("hot_mask")) & (F.col("fp").bitwiseAND(F.col("mask")) == F.col("value"))
+        rest = rows.join(hot, same, "left_anti")
+        settled = rest if settled is None else settled.unionByName(rest)
+        rows = staged(copied(rows.join(hot, same, "left_semi"), open_), "divided-groups")
+        masks = [c for m in open_ for c in divided(m, parts)]
+    return rows if settled is None else settled.unionByName(rows)
+
+
+def linked(distinct: DataFrame, n: int, budget: int = 3, limit: int = GROUP_LIMIT) -> DataFrame:
     """(a, b): edges that connect just what fingerprints within ``budget`` differing bits connect.
 
-    ``distinct`` has one column fp. ``top`` follows from their number ``n``: subtrees stay of one size as data grow.
+    ``distinct`` has one column fp and ``n`` rows. Groups of more than ``limit`` fingerprints are divided.
     """
-    prepare(distinct.sparkSession)
-    if top is None:
-        top = min(16, max(4, (max(n, 1) // SUBTREE).bit_length()))
-    masks = [sum(1 << i for i in x) for k in range(min(budget, top) + 1) for x in itertools.combinations(range(top), k)]
-
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        low, high = (x.as_py() for x in key)
-        a, b = join_pair(group.column("fp").to_numpy().view(np.uint64), low, high, top, budget)
+    spark = distinct.sparkSession
+    prepare(spark)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (budget + 1) // TASK_ROWS))
+
+    def run(group: pa.Table) -> pa.Table:
+        masks, fps = (group.column(c).to_numpy().view(np.uint64) for c in ("mask", "fp"))
+        a, b = join_groups(masks, fps, budget)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    node = F.shiftrightunsigned("fp", BITS - top)
-    pairs = distinct.select("fp", node.alias("node"), F.explode(F.lit(masks).cast("array<long>")).alias("mask"))
-    pairs = pairs.select("fp", F.least("node", F.col("node").bitwiseXOR(F.col("mask"))).alias("low"), F.greatest("node", F.col("node").bitwiseXOR(F.col("mask"))).alias("high"))
-    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 ** (top - 1) * len(masks) // 4, 20_000))
-    return pairs.repartition(parts, "low", "high").groupBy("low", "high").applyInArrow(run, "a long, b long")
+    task = F.pmod(F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))), F.lit(tasks))
+    rows = grouped_by_parts(distinct, n, budget, limit).withColumn("task", task)
+    return rows.repartition(tasks, "task").groupBy("task").applyInArrow(run, "a long, b long")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, budget: int, shingle: int) -> DataFrame:
