@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat_format, decontaminate, html_blocks, packing, prefix_trie, quality_mil, quality_rules, secret_scan, sentence_pieces, simhash_trie, substring_dedup, token_counts, whitening
@@ -75,7 +75,11 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(n) for k, n in enumerate(("n_assign", "n_access", "n_hex"))]
+
+    def of_kind(k: int) -> Column:  # a second parameter of the lambda, even one with a default, would be the index
+        return F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+
+    counts = [of_kind(k).alias(n) for k, n in enumerate(("n_assign", "n_access", "n_hex"))]
     return found.select("doc_id", *counts, F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("secrets")).alias("spans"))
 
 
