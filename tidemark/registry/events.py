@@ -339,11 +339,27 @@ register(
 )
 
 
+# what is added up of each dataset beside its rows
+_TOTALS = {
+    "silver_events": "count(distinct actor_login)",
+    "silver_repos": "sum(stars)",
+    "silver_users": "sum(followers)",
+    "repo_velocity": "sum(event_count * hour(event_hour))",
+    "user_stats": "sum(unique_contributors)",
+    "event_distribution": "sum(event_count * hour_of_day)",
+    "repo_enriched": "sum(stars)",
+    "language_distribution": "sum(event_count * repo_count)",
+    "user_enriched": "sum(followers)",
+    "activity_summary": "sum(stars + followers)",
+}
+
+
 def _run_all(t):
     folder = fresh_path(t.spark, "layers")
     tables, _ = ingest_and_refresh(t.spark, land(t, f"{folder}/landing"), f"{folder}/tables", multiline=False)
     counts = [
-        tables[name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
+        tables[name].agg(F.count(F.lit(1)).alias("rows"), F.expr(f"cast({_TOTALS[name]} as bigint)").alias("total"))
+        .select(F.lit(name).alias("dataset"), "rows", "total")
         for name in run_order()
     ]
     return reduce(lambda a, b: a.unionByName(b), counts)
@@ -352,18 +368,21 @@ def _run_all(t):
 register(
     "j17_dataset_graph",
     _run_all,
-    f"""select 'silver_events' as dataset, count(*) as rows from feed_events
-        union all select 'silver_repos', count(*) from feed_repos
-        union all select 'silver_users', count(*) from feed_users
-        union all select 'repo_velocity', count(*) from (
-          select distinct repo_name, date_trunc('hour', created_at) from feed_events)
-        union all select 'user_stats', count(distinct repo_name) from feed_events
-        union all select 'event_distribution', count(distinct hour(created_at)) from feed_events
-        union all select 'repo_enriched', count(*) from feed_events
-        union all select 'language_distribution', count(distinct coalesce(primary_language, 'Unknown'))
-                  from {ENRICHED_SQL} x
-        union all select 'user_enriched', count(*) from feed_events
-        union all select 'activity_summary', count(*) from feed_events""",
+    f"""with x as {ENRICHED_SQL},
+             hours as (select repo_name, date_trunc('hour', created_at) as h, count(*) as n from feed_events group by 1, 2),
+             langs as (select count(*) as n, count(distinct repo_name) as r from x group by coalesce(primary_language, 'Unknown')),
+             people as (select count(distinct actor_login) as n from feed_events group by repo_name)
+        select 'silver_events' as dataset, count(*) as rows, count(distinct actor_login) as total from feed_events
+        union all select 'silver_repos', count(*), cast(sum(stars) as bigint) from feed_repos
+        union all select 'silver_users', count(*), cast(sum(followers) as bigint) from feed_users
+        union all select 'repo_velocity', count(*), cast(sum(n * hour(h)) as bigint) from hours
+        union all select 'user_stats', count(*), cast(sum(n) as bigint) from people
+        union all select 'event_distribution', count(distinct hour(created_at)), cast(sum(hour(created_at)) as bigint)
+                  from feed_events
+        union all select 'repo_enriched', count(*), cast(sum(stars) as bigint) from x
+        union all select 'language_distribution', count(*), cast(sum(n * r) as bigint) from langs
+        union all select 'user_enriched', count(*), cast(sum(followers) as bigint) from x
+        union all select 'activity_summary', count(*), cast(sum(stars + followers) as bigint) from x""",
 )
 
 

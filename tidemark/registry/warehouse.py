@@ -236,8 +236,16 @@ def _rebuilt(t):
         CUSTOMER_TRACKED,
         PRODUCT_TRACKED,
     )
+    totals = {
+        "dim_date": "date_key",
+        "dim_customer": "customer_key * customer_id",
+        "dim_product": "product_key * product_id",
+        "fact_sales": "quantity * (customer_key + product_key)",
+        "fact_sales_daily": "total_quantity * product_key",
+    }
     counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        df.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"cast(sum({totals[name]}) as bigint)").alias("total"))
+        .select(F.lit(name).alias("table_name"), "rows", "total")
         for name, df in tables.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), counts)
@@ -247,11 +255,12 @@ register(
     "i09_refresh_order",
     _rebuilt,
     f"""with f as {FACTS_SQL}
-        select 'dim_date' as table_name, count(*) as rows from {CALENDAR_SQL} d
-        union all select 'dim_customer', count(*) from {CUSTOMERS_SQL} d
-        union all select 'dim_product', count(*) from {PRODUCTS_SQL} d
-        union all select 'fact_sales', count(*) from f
-        union all select 'fact_sales_daily', count(*) from (select distinct date_key, product_key from f)""",
+        select 'dim_date' as table_name, count(*) as rows, cast(sum(date_key) as bigint) as total from {CALENDAR_SQL} d
+        union all select 'dim_customer', count(*), cast(sum(customer_key * customer_id) as bigint) from {CUSTOMERS_SQL} d
+        union all select 'dim_product', count(*), cast(sum(product_key * product_id) as bigint) from {PRODUCTS_SQL} d
+        union all select 'fact_sales', count(*), cast(sum(quantity * (customer_key + product_key)) as bigint) from f
+        union all select 'fact_sales_daily', count(*), cast(sum(total * product_key) as bigint)
+                  from (select product_key, sum(quantity) as total from f group by date_key, product_key)""",
 )
 
 
