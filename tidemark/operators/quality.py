@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.operators.joins import keys_of
 
@@ -164,36 +165,38 @@ def foreign_keys_check(tables: Mapping[str, DataFrame], constraints: Sequence[Fo
     """One row per constraint: rows whose key has no parent, and such keys. Null keys are allowed.
 
     Every child is read once for all its constraints, every parent once for
-    all its keys: each row is stacked to its keys, which are counted before
-    they move. Uses of a key and the key itself then meet in one grouping,
-    where a key without a parent is an orphan of the constraints that use
-    it. Keys are compared as text, so a child's column and its parent's key
-    must be of one type.
+    all of them: each row is stacked to its keys under the numbers of the
+    constraints. Uses of a key and the key itself then meet in one grouping,
+    counted before they move and held as two counters per key; a used key
+    without a parent is an orphan. Whole numbers are compared as such.
+    Otherwise keys are compared as text, so a child's column and its
+    parent's key must be of one type.
     """
     if not constraints:
         raise ValueError("no foreign keys to check")
-
-    def stacked(table: str, entries: Sequence[tuple[str | None, str, str]]) -> DataFrame:
-        pairs = [
-            F.struct(F.lit(name).cast("string").alias("name"), F.lit(parent).alias("parent"), F.col(column).cast("string").alias("key"))
-            for name, parent, column in entries
-        ]
-        keys = tables[table].select(F.inline(F.array(*pairs))).where("key is not null")
-        return keys.groupBy("name", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
-
-    uses: dict[str, list] = {}
-    known: dict[str, set] = {}
+    names = list(dict.fromkeys((c.name, c.parent, c.key) for c in constraints))
+    uses: dict[str, list[tuple[int, str]]] = {}
+    known: dict[str, list[tuple[int, str]]] = {}
     for c in constraints:
-        uses.setdefault(c.child, []).append((c.name, f"{c.parent}.{c.key}", c.column))
-        known.setdefault(c.parent, set()).add((None, f"{c.parent}.{c.key}", c.key))
-    sides = [stacked(t, entries) for t, entries in uses.items()] + [stacked(t, sorted(entries, key=str)) for t, entries in known.items()]
-    # at most one use per constraint and key is gathered
-    met = reduce(DataFrame.unionByName, sides).groupBy("parent", "key").agg(
-        F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "n"))).alias("uses"),
-        F.max(F.col("name").isNull()).alias("is_known"),
+        uses.setdefault(c.child, []).append((names.index((c.name, c.parent, c.key)), c.column))
+    for i, (_, parent, key) in enumerate(names):
+        known.setdefault(parent, []).append((i, key))
+    kinds = [tables[t].schema[column].dataType for side in (uses, known) for t, entries in side.items() for _, column in entries]
+    kind = "bigint" if all(isinstance(k, IntegralType) for k in kinds) else "string"
+
+    def stacked(table: str, entries: Sequence[tuple[int, str]], is_use: bool) -> DataFrame:
+        keys = [F.struct(F.lit(i).alias("number"), F.col(column).cast(kind).alias("key")) for i, column in entries]
+        rows = tables[table].select(F.inline(F.array(*keys))).where("key is not null")
+        return rows.withColumn("is_use", F.lit(is_use))
+
+    sides = [stacked(t, entries, True) for t, entries in uses.items()] + [stacked(t, entries, False) for t, entries in known.items()]
+    met = reduce(DataFrame.unionByName, sides).groupBy("number", "key").agg(
+        F.count_if("is_use").alias("n"), F.max(~F.col("is_use")).alias("is_known")
     )
-    orphans = met.where(~F.col("is_known")).select(F.inline("uses"))
-    per_constraint = orphans.groupBy("name").agg(F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
+    orphans = met.where(~F.col("is_known")).groupBy("number").agg(F.sum("n").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
+    # two parents of one column share its name and row
+    label = F.array(*[F.lit(name) for name, _, _ in names])[F.col("number")]
+    per_constraint = orphans.groupBy(label.alias("name")).agg(F.sum("orphan_rows").alias("orphan_rows"), F.sum("orphan_keys").alias("orphan_keys"))
     every = tables[constraints[0].child].sparkSession.createDataFrame([(c.name,) for c in constraints], "constraint_name string")
     zero = F.lit(0).cast("bigint")
     return every.join(per_constraint, F.col("constraint_name") == F.col("name"), "left").select(
