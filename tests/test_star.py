@@ -264,3 +264,16 @@ def test_daily_sales_from_lines_equal_those_from_facts(spark, snapshots):
     products = star.dim_product(spark.createDataFrame([(7, D(2020, 1, 6), "a"), (7, D(2020, 2, 6), "b")], "product_id long, snapshot_date date, name string"), ["name"])
     facts = star.fact_sales(lines, star.dim_customer(snapshots, ["segment"]), products)
     assert rows(star.daily_sales(lines, products)) == rows(star.fact_sales_daily(facts))
+
+
+def test_orders_of_a_customer_are_grouped_once(spark):
+    schema = "customer_key bigint, order_id bigint, revenue decimal(12,2)"
+    # order 7 under two versions of one customer, order 9 before any version, one item without an order
+    rows = [(1, 7, Decimal("1.50")), (2, 7, Decimal("2.00")), (2, 8, Decimal("3.00")), (2, 8, None), (2, None, Decimal("4.00")), (None, 9, Decimal("5.00")), (3, 7, None)]
+    facts = spark.createDataFrame(rows, schema)
+    customers = spark.createDataFrame([(1, 10), (2, 10), (3, 30), (4, 40)], "customer_key bigint, customer_id bigint")
+    asked = star.revenue_and_orders_per_customer(facts, customers)
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, asked.collect()), key=str) == [(10, Decimal("10.50"), 2), (30, None, 1), (None, Decimal("5.00"), 1)]
+    # partial and final counts per customer and order, then per customer: no other table of orders in a task
+    assert plan.count("HashAggregate(keys=") == 4

@@ -348,14 +348,10 @@ def revenue_and_orders_per_customer(facts: DataFrame, customers: DataFrame) -> D
 
     Sales before a customer's first version are kept, under a null customer.
     """
-    per_order = facts.groupBy("customer_key", "order_id").agg(F.sum("revenue").alias("revenue"))
-    return (
-        per_order.join(customers.select("customer_key", "customer_id"), "customer_key", "left")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("revenue").cast("decimal(18,2)").alias("revenue"),
-            F.countDistinct("order_id").alias("orders"),
-        )
+    named = facts.select("customer_key", "order_id", "revenue").join(customers.select("customer_key", "customer_id"), "customer_key", "left")
+    per_order = named.groupBy("customer_id", "order_id").agg(F.sum("revenue").alias("revenue"))
+    return per_order.groupBy("customer_id").agg(
+        F.sum("revenue").cast("decimal(18,2)").alias("revenue"), F.count("order_id").alias("orders")
     )
 
 
