@@ -251,3 +251,13 @@ def test_query_of_the_trie(spark):
     t = pq.read_table(f"{SMALL}/conversations.parquet").to_pylist()
     rows = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in t]
     assert made(QUERIES["op12_prefix_trie"](spark, SMALL)) == nodes_of(rebuilt(rows))
+
+
+def test_words_stay_remembered_when_pairs_do_not(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED", 10)
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = str(P.path("piece_bpe_32k.model"))
+    library, pieces = sentencepiece.SentencePieceProcessor(model_file=path), sentence_pieces.PieceModel(path)
+    texts = [" ".join(f"wort{i * 7919 % 1000}qx zz{i}ab" for i in range(200)), "a  b", "", "xqzxqz \u4e16 wort1"]
+    assert pieces.encode([x.encode() for x in texts]).to_pylist() == [library.encode(x) for x in texts]
+    assert len(pieces.words) == len({w for x in texts for w in sentence_pieces.split(x.encode())})

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import codes, prepare, slices
 
 SPACE = "▁"
-#: Words and pairs a task remembers; beyond that it starts afresh.
+#: Pairs and words a task remembers; beyond that it starts afresh.
 REMEMBERED = 1 << 18
+REMEMBERED_WORDS = 1 << 20
 #: Bytes of text that are encoded at a time.
 ENCODED_BYTES = 2 << 20
 #: How the library writes the unknown piece.
@@ -69,7 +71,8 @@ class PieceModel:
         self.characters = Characters(self.id_of)
         self.lengths = [len(x) for x in names]
         self.pairs: dict[tuple[int | None, int], bool] = {}
-        self.words: dict[bytes, list[int]] = {}
+        self.first: dict[tuple[int | None, int], int | None] = {}
+        self.words: dict[bytes, tuple[int, ...]] = {}
         surface = [b"" if model.is_control(i) else names[i].replace(SPACE, " ").encode() for i in range(count)]
         surface[self.unknown] = UNKNOWN_SURFACE.encode()
         for i, b in self.byte_of.items():
@@ -128,6 +131,16 @@ class PieceModel:
             known = self.pairs[left, right] = self.merge("".join(own)) == own
         return known
 
+    def first_fitting(self, left: int | None, token: int) -> int | None:
+        """Of a token and the shorter ones at its place the longest that agrees with the token before; None without one."""
+        if len(self.first) >= REMEMBERED:
+            self.first.clear()
+        found: int | None = token
+        while found is not None and not self.agree(left, found):
+            found = self.shorter[found] if found >= 0 else None
+        self.first[left, token] = found
+        return found
+
     def longest(self, text: str) -> list[int]:
         """For every position the longest token that begins there."""
         characters = self.characters
@@ -143,11 +156,22 @@ class PieceModel:
             return [whole]
         size, sizes, shorter, pairs = len(text), self.lengths, self.shorter, self.pairs
         longest = self.longest(text)
-        failed = bytearray((size >> 3) + 1)  # one bit per position
-        any_failed = False
         out: list[int] = []
-        at, last = 0, None
-        token = longest[0] if size else None
+        at, last, token = 0, None, None
+        first = self.first
+        while at < size:
+            whole = longest[at]
+            token = first.get((last, whole))
+            if token is None:
+                token = self.first_fitting(last, whole)
+                if token is None:
+                    break
+            out.append(token)
+            at += sizes[token] if token >= 0 else 1
+            last = token
+        # where a token had to be given up: from here on with the places that lead nowhere
+        failed = bytearray((size >> 3) + 1 if at < size else 0)  # one bit per position
+        any_failed = False
         while at < size:
             while token is not None:
                 fits = pairs.get((last, token))
@@ -186,13 +210,14 @@ class PieceModel:
                 out.append(self.unknown)
         return out
 
-    def word(self, word: bytes) -> list[int]:
+    def word(self, word: bytes) -> tuple[int, ...]:
         """Ids of a word that follows a space (the space is not part of ``word``; further spaces before it are)."""
         ids = self.words.get(word)
         if ids is None:
-            ids = self.numbers(self.tokens(SPACE + word.decode("utf-8", "replace").replace(" ", SPACE)))
+            # tuples of numbers, unlike lists, are not looked at by the garbage collection
+            ids = tuple(self.numbers(self.tokens(SPACE + word.decode("utf-8", "replace").replace(" ", SPACE))))
             if len(word) <= 64:
-                if len(self.words) >= REMEMBERED:
+                if len(self.words) >= REMEMBERED_WORDS:
                     self.words.clear()
                 self.words[word] = ids
         return ids
@@ -202,11 +227,11 @@ class PieceModel:
         lists = [split(x) for x in texts]
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=bounds[1:])
-        coded, distinct = codes([w for x in lists for w in x])
+        coded, distinct = codes(list(chain.from_iterable(lists)))
         made = [self.word(w) for w in distinct]
         edges = np.zeros(len(made) + 1, np.int64)
         np.cumsum([len(x) for x in made], out=edges[1:])
-        values = pa.array(np.fromiter((i for x in made for i in x), np.int32, edges[-1]))
+        values = pa.array(np.fromiter(chain.from_iterable(made), np.int32, edges[-1]))
         flat = pa.LargeListArray.from_arrays(pa.array(edges), values).take(pa.array(coded)).flatten()
         ends = np.zeros(len(coded) + 1, np.int64)
         np.cumsum(np.diff(edges)[coded], out=ends[1:])
