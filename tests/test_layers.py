@@ -5,6 +5,7 @@ import json
 import os
 import random
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.operators import layers as g
 from tidemark.operators import quality as q
 from tidemark.plans.additive import COUNTS, AdditiveTable, add_changes, contributors_of_days, daily_contributors
-from tidemark.plans.medallion import DATASETS, Dataset, ingest_and_merge, ingest_and_refresh, publish, run_order
+from tidemark.plans.medallion import DATASETS, Dataset, ingest_and_merge, ingest_and_refresh, publish, refresh, run_order
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming import bronze as b
@@ -286,6 +287,41 @@ def test_order_of_datasets():
         run_order({"a": Dataset(("b",), None), "b": Dataset(("a",), None)})
 
 
+def test_tables_that_do_not_read_each_other_are_published_side_by_side(spark, tmp_path):
+    both, calls = threading.Barrier(2, timeout=60), []
+
+    def meets(df):
+        both.wait()
+        return df
+
+    def joined(a, c):
+        calls.append("joined")
+        return a.unionByName(c)
+
+    start = {"start": spark.createDataFrame([(1,), (2,)], "id int")}
+    few = q.expect_or_drop("few", "id < 2")
+    datasets = {"a": Dataset(("start",), meets, rules=(few,)), "joined": Dataset(("a", "c"), joined), "c": Dataset(("start",), meets)}
+    tables, metrics = refresh(spark, str(tmp_path / "good"), start, datasets)
+    assert rows_of(tables["joined"]) == [(1,), (1,), (2,)] and list(metrics) == ["a"]
+    # what stands beside a broken table is published, what comes after is not
+    broken = {**datasets, "a": Dataset(("start",), meets, rules=(q.expect_or_fail("few", "id < 2"),))}
+    with pytest.raises(q.ExpectationFailed):
+        refresh(spark, str(tmp_path / "bad"), start, broken)
+    assert calls == ["joined"] and SnapshotTable(spark, str(tmp_path / "bad/c")).read().count() == 2
+    assert SnapshotTable(spark, str(tmp_path / "bad/a")).current_version() is None
+
+
+def test_text_that_opens_an_object_needs_no_schema_of_its_own(spark):
+    texts = ['{"a": 1}', '  {"a": 1}', '[{"a": 1}]', "{broken", "5", '"{"', '\t{"a": 1}', "[]"]
+    lineage = "'f' source_file, current_timestamp() source_modified, current_timestamp() _ingested_at"
+    rows = b.payload_rows(spark.createDataFrame([(x,) for x in texts], "value string").selectExpr("value", *lineage.split(", ")))
+    is_object = F.schema_of_variant("raw_payload").startswith("OBJECT<")
+    got = rows.select("_opens", F.coalesce(is_object, F.lit(False)).alias("o"), F.isnull("raw_payload").alias("n")).collect()
+    assert [(r["_opens"], r.o, r.n) for r in got] == [
+        (True, True, False), (True, True, False), (False, True, False), (True, False, True), (False, False, False), (False, False, False), (False, True, False),
+    ]
+
+
 def test_latest_snapshot_and_bad_numbers(spark):
     payload = '{"full_name":"o/r","stargazers_count":"%s","language":"x","forks_count":"1","created_at":"when"}'
     rows = spark.createDataFrame([(payload % "7", "f1", 1), (payload % "bad", "f2", 2)], "text string, source_file string, n int").selectExpr(

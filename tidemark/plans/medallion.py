@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 from graphlib import TopologicalSorter
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import layers
 from tidemark.operators.quality import Rule, RuleWatch, keep_valid
 from tidemark.plans.additive import COUNTS, AdditiveTable, Counts, add_changes
+from tidemark.session import side_by_side
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.bronze import ingest, read_bronze
 
@@ -62,10 +63,19 @@ DATASETS: Mapping[str, Dataset] = {
 }
 
 
+def run_levels(datasets: Mapping[str, Dataset] = DATASETS) -> Iterator[tuple[str, ...]]:
+    """Names in groups: the tables of a group read only those of earlier groups."""
+    graph = TopologicalSorter({name: [r for r in d.reads if r in datasets] for name, d in datasets.items()})
+    graph.prepare()
+    while graph.is_active():
+        level = graph.get_ready()
+        yield level
+        graph.done(*level)
+
+
 def run_order(datasets: Mapping[str, Dataset] = DATASETS) -> list[str]:
     """Names so that every table comes after the tables it reads."""
-    graph = {name: [r for r in d.reads if r in datasets] for name, d in datasets.items()}
-    return list(TopologicalSorter(graph).static_order())
+    return [name for level in run_levels(datasets) for name in level]
 
 
 def publish(
@@ -150,16 +160,26 @@ def ingest_and_merge(
 def refresh(
     spark: SparkSession, folder: str, bronze: Mapping[str, DataFrame], datasets: Mapping[str, Dataset] = DATASETS
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Rebuild all tables from bronze; returns the tables and the rule counts by table."""
+    """Rebuild all tables from bronze; returns the tables and the rule counts by table.
+
+    Tables that do not read each other are published side by side. After a broken rule the others of that group are
+    still published, those that come later are not.
+    """
     available: dict[str, DataFrame] = dict(bronze)
     metrics: dict[str, DataFrame] = {}
-    for name in run_order(datasets):
+
+    def rebuild(name: str) -> tuple[DataFrame, DataFrame | None]:
         spec = datasets[name]
         table = SnapshotTable(spark, f"{folder}/{name}", spec.partition_by)
         counts = publish(table, spec.build(*[available[r] for r in spec.reads]), spec.rules, name, spec.hidden)
-        if counts is not None:
-            metrics[name] = counts
-        available[name] = table.read()
+        return table.read(), counts
+
+    for level in run_levels(datasets):
+        done = side_by_side(spark, *[partial(rebuild, name) for name in level])
+        for name, (table, counts) in zip(level, done):
+            if counts is not None:
+                metrics[name] = counts
+            available[name] = table
     return available, metrics
 
 
@@ -178,4 +198,5 @@ def _ingest_all(spark: SparkSession, landing: Mapping[str, str], folder: str, mu
     roots = [path.rstrip("/") + "/" for path in landing.values()]
     if any(a != b and a.startswith(b) for a in roots for b in roots) or len(set(roots)) < len(roots):
         raise ValueError("landing folders must not contain each other")
-    return {name: ingest(spark, path, f"{folder}/{name}", multiline) for name, path in landing.items()}
+    steps = [partial(ingest, spark, path, f"{folder}/{name}", multiline) for name, path in landing.items()]
+    return dict(zip(landing, side_by_side(spark, *steps)))

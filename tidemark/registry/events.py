@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from tidemark.plans.medallion import DATASETS, ingest_and_refresh, merge_new_bat
 from tidemark.plans.additive import COUNTS, add_changes, contributors_of_days, daily_contributors
 from tidemark.registry.base import register, rounded
 from tidemark.registry.storage import iso_text
-from tidemark.session import fresh_path, staged
+from tidemark.session import fresh_path, side_by_side, staged
 from tidemark.sources import files
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming.bronze import ingest, known_fields, read_bronze
@@ -75,7 +75,9 @@ def land_kind(t: Tables, kind: str, place: str) -> str:
 
 def land(t: Tables, folder: str) -> dict[str, str]:
     """Write events, repositories and users as JSON."""
-    return {f"bronze_{kind}": land_kind(t, kind, f"{folder}/{kind}") for kind in ("events", "repos", "users")}
+    kinds = ("events", "repos", "users")
+    places = side_by_side(t.spark, *[partial(land_kind, t, kind, f"{folder}/{kind}") for kind in kinds])
+    return {f"bronze_{kind}": place for kind, place in zip(kinds, places)}
 
 
 def bronze(t: Tables, kind: str) -> DataFrame:

@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +69,17 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Results of steps that do not need each other, in their order.
+
+    Their jobs share the cluster, so one step uses the cores that the last
+    tasks of another leave idle. All steps are ended before the first error,
+    in their order, is raised.
+    """
+    if not steps:
+        return []
+    with ThreadPoolExecutor(len(steps)) as pool:
+        runs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [run.result() for run in runs]

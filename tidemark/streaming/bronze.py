@@ -91,7 +91,10 @@ def known_fields(spark: SparkSession, table: str) -> DataFrame:
 
 
 def payload_rows(texts: DataFrame) -> DataFrame:
-    """One row per JSON value; the elements of a list are values of their own. What is no JSON goes to ``malformed``."""
+    """One row per JSON value; the elements of a list are values of their own. What is no JSON goes to ``malformed``.
+
+    ``_opens`` tells that the text begins as an object does: its payload, if it has one, is an object.
+    """
     parsed = texts.where(F.trim("value") != "").withColumn("_v", F.try_parse_json("value"))
     values = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
     return parsed.select(
@@ -101,6 +104,7 @@ def payload_rows(texts: DataFrame) -> DataFrame:
         "source_modified",
         "_ingested_at",
         F.to_date("_ingested_at").alias("ingestion_date"),
+        F.ltrim("value").startswith("{").alias("_opens"),
     )
 
 
@@ -130,9 +134,10 @@ def ingest(
 
     def write(batch: DataFrame, number: int) -> None:
         seen = Observation()
-        is_object = F.schema_of_variant("raw_payload").startswith("OBJECT<")
+        # the schema of a single payload is only worked out where the text leaves open what the payload is
+        is_object = F.col("_opens") | F.schema_of_variant("raw_payload").startswith("OBJECT<")
         fields = F.schema_of_variant_agg(F.when(is_object, F.col("raw_payload"))).alias("fields")
-        rows = payload_rows(batch).observe(seen, fields)
+        rows = payload_rows(batch).observe(seen, fields).drop("_opens")
         rows.write.mode("overwrite").partitionBy("ingestion_date").parquet(f"{table}/data/batch_id={number}")
         known = known_schema(batch.sparkSession, table) if number else T.StructType([])
         merged = merge_schemas(known, as_schema(seen.get["fields"]))
