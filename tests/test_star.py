@@ -247,6 +247,23 @@ def test_inferred_members_are_filled_and_keep_their_numbers(spark, snapshots, tm
     assert sum(r[1] for r in star.revenue_and_orders_per_customer(again["fact_sales"], customers_now).collect()) == total
 
 
+def test_a_refresh_works_out_order_items_once(spark, snapshots, tmp_path):
+    lines = spark.createDataFrame([(1, 1, 7, D(2020, 3, 5), 2, Decimal("1.50"))], LINES)
+    products = spark.createDataFrame([(7, D(2020, 1, 6), "p7")], "product_id long, snapshot_date date, product_name string")
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            worked_out.add(batch.num_rows)
+            yield batch
+
+    t = refresh_warehouse(
+        spark, str(tmp_path / "w"), lines.mapInArrow(counted, lines.schema), snapshots, products, ["segment"], ["product_name"]
+    )
+    assert t["fact_sales"].count() == 1 and t["fact_sales_daily"].count() == 1
+    assert worked_out.value == 1
+
+
 def test_a_moved_placeholder_keeps_its_number(spark):
     schema = "k long, start_date date"
     first, keys = star.member_keys(spark.createDataFrame([(9, D(2020, 1, 7)), (1, D(2020, 1, 1))], schema), None, "k", "n")

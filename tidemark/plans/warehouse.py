@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import star
+from tidemark.session import side_by_side, staged
 from tidemark.sources.snapshots import SnapshotTable
 
+#: What the star schema takes from an order item.
+SALE_COLUMNS = ("order_id", "customer_id", "product_id", "full_date", "quantity", "unit_price")
+
 
 def build_warehouse(
     spark: SparkSession,
@@ -72,13 +76,19 @@ def refresh_warehouse(
     """Publish the star schema after new, late or repeated dimension updates; numbers once given stay.
 
     Every fact has a customer and a product: a member that no update has named yet is inferred, a missing key is the
-    unknown member. Updates are what came since the last run, order items are all.
+    unknown member. Updates are what came since the last run, order items are all. Order items are read for each
+    dimension and for the facts, so the join or whatever they come from is worked out once and written. The dimensions
+    do not need each other and are refreshed side by side.
     """
-    customers = _refreshed_dimension(
-        spark, folder, "dim_customer", customer_updates, sale_lines, "customer_id", customer_tracked, "customer_key"
-    )
-    products = _refreshed_dimension(
-        spark, folder, "dim_product", product_updates, sale_lines, "product_id", product_tracked, "product_key"
+    sale_lines = staged(sale_lines.select(*SALE_COLUMNS), "sale-lines")
+    customers, products = side_by_side(
+        spark,
+        lambda: _refreshed_dimension(
+            spark, folder, "dim_customer", customer_updates, sale_lines, "customer_id", customer_tracked, "customer_key"
+        ),
+        lambda: _refreshed_dimension(
+            spark, folder, "dim_product", product_updates, sale_lines, "product_id", product_tracked, "product_key"
+        ),
     )
     facts = star.fact_sales(sale_lines, customers, products)
     unknown = F.lit(star.UNKNOWN_MEMBER).cast("bigint")
