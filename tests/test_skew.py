@@ -119,6 +119,36 @@ def test_both_ways_have_the_same_rows_and_types(spark, df, kind, limit):
         assert result(sliced, "o") == result(plain, "o")
 
 
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+STEPS = {
+    "numbered": lambda df: skew.numbered(df, ["k"], [F.col(c) for c in ORDER], "out"),
+    "lagged": lambda df: skew.lagged(df, ["k"], [F.col(c) for c in ORDER], "x", "out"),
+    "moving": lambda df: skew.moving_average(df, ["k"], [F.col(c) for c in ORDER], "x", 3, "out"),
+    "total": lambda df: skew.running_total(df, ["k"], "v", "x", "out"),
+    "rank": lambda df: skew.ranked(df, ["k"], "v", "out"),
+    "dense": lambda df: skew.ranked(df, ["k"], "v", "out", dense=True),
+}
+
+
+@pytest.mark.parametrize("share", ["most", "few"])
+def test_rows_are_told_apart_only_where_hot_keys_hold_few_of_them(spark, small_groups, share):
+    """One hot key among small ones, one of them null, with most or fewer than half of the rows."""
+    hot, small = (30, 8) if share == "most" else (12, 30)
+    keys = ["hot"] * hot + [None if i % 10 == 9 else f"k{i % 10}" for i in range(small)]
+    rows = [(k, i * 7 % 5, i, None if i % 4 == 0 else float(i % 3)) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, v int, id int, x double")
+    got = {name: step(df) for name, step in STEPS.items()}
+    assert ["LeftAnti" in plan(frame) for frame in got.values()] == [share == "few"] * len(got)
+    spark.conf.set("spark.tidemark.hotGroupRows", "100000")
+    for name, step in STEPS.items():
+        plain = step(df)
+        assert got[name].schema == plain.schema or [f.dataType for f in got[name].schema] == [f.dataType for f in plain.schema]
+        assert result(got[name], "out") == result(plain, "out"), name
+
+
 def test_group_stats_match_null_keys(df, rows):
     got = {(r["k"], r["id"]): r["n"] for r in skew.with_group_stats(df, ["k"], F.count(F.lit(1)).alias("n")).collect()}
     sizes = {k: len(g) for k, g in grouped(rows).items()}

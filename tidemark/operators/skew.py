@@ -33,16 +33,19 @@ def hot_group_rows(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int]:
     """Key combinations that do not fit a task, and the number of slices to cut their rows into; (None, 0) if all fit.
 
-    There are at most rows / limit such keys. The slices are at least the
+    Where such keys hold at least half of all rows, no keys are listed (None and the slices for all rows): to tell the
+    other rows apart would cost more reads of all rows. Otherwise there are at most rows / limit such keys. The slices are at least the
     shuffle partitions, and enough to keep one near the row limit.
     """
     limit = hot_group_rows(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    total = counts.agg(F.sum("_rows")).first()[0]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    is_hot = F.col("_rows") > limit
+    total, rows = counts.agg(F.sum(F.when(is_hot, F.col("_rows"))), F.sum("_rows")).first()
     if not total:
         return None, 0
-    hot = staged(counts, "hotkeys")
-    return hot.drop("_rows"), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+    most = 2 * total >= rows
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows if most else total) // limit))
+    return None if most else staged(counts.filter(is_hot), "hotkeys").drop("_rows"), slices
 
 
 def by_group_size(
@@ -56,11 +59,13 @@ def by_group_size(
 
     ``sizes`` is a cheaper frame to measure the groups on, with at least as
     many rows per group as ``df``; for example the scan beneath a join.
+    All rows are ``sliced`` where most of them are of keys that do not fit;
+    the slices need no key to be large.
     """
     hot, slices = hot_keys(df if sizes is None else sizes, keys)
-    if hot is None:
+    if not slices:
         return plain(df)
-    if not keys:
+    if hot is None:
         return as_types(sliced(df, slices), plain(df))
     marks = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
     match = same(df, marks, [(k, f"_hot_{k}") for k in keys])
