@@ -2,8 +2,9 @@
 
 A Spark window puts every row of a partition key into one task. The
 functions here first count rows per key (a map-side combined aggregate).
-Keys that fit a task use the plain window. The rows of larger keys, and
-only those, are range partitioned on the whole sort key, so a hot key is
+Keys that fit a task use the plain window. The rows of larger keys, or
+all rows where larger keys hold at least half of them, are range
+partitioned on the whole sort key, so a hot key is
 cut into slices; each slice runs on its own and takes over a carry from
 the slices before it. At most one key continues into a slice, so the carry
 table never has more rows than there are slices and may be broadcast.
